@@ -1,0 +1,203 @@
+"""Sharding, personal data, chat formatting and quality against plain Python."""
+
+import hashlib
+import json
+import random
+import re
+from collections import Counter
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tributary.llm import chat, pii, quality, sharding
+from tributary.llm.registry import QUERIES, SHARDS, SLOTS
+
+DOCS = "doc_id BIGINT, text STRING"
+SF = "/root/testdata/sf0.001"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+# sharding
+
+
+def test_fill_is_even_and_stable():
+    owner = sharding.fill(SHARDS, SLOTS)
+    assert max(Counter(owner).values()) - min(Counter(owner).values()) <= 1
+    fewer = sharding.fill(SHARDS[:-1], SLOTS)
+    moved = sum(a != b for a, b in zip(owner, fewer, strict=True) if a != len(SHARDS) - 1)
+    assert moved < 0.3 * SLOTS
+
+
+def test_hot_keys_are_spread(spark):
+    rows = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i % 40}", None) for i in range(4000)] + [(4000, None, None)], "doc_id BIGINT, source STRING, hot_key STRING").drop("hot_key")
+    placed = sharding.place(rows, "source", SHARDS, SLOTS, spread_by="doc_id")
+    assert placed.count() == 4001 and placed.where("shard IS NULL").count() == 0
+    assert placed.where("source = 'hot'").select("shard").distinct().count() >= 4
+    assert placed.where("source = 'k0'").select("shard").distinct().count() == 1
+    assert sharding.place(rows.limit(0), "source", SHARDS, SLOTS).count() == 0
+
+
+def test_write(spark, tmp_path):
+    rows = sharding.place(spark.range(100), "id", SHARDS, SLOTS)
+    sharding.write(rows, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 100
+
+
+# personal data
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(number):
+    digits = [int(c) for c in reversed(number)]
+    return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+
+def passes(kind, match):
+    number = re.sub("[^0-9]", "", match)
+    return {
+        "email": True,
+        "ip": all(int(x) <= 255 for x in match.split(".")) if kind == "ip" else False,
+        "card": 16 <= len(number) <= 19 and luhn(number),
+        "phone": 8 <= len(number) <= 15,
+    }[kind]
+
+
+def base_spans(text):
+    return [f"{k}:{m.start()}:{m.end()}" for k, p in PLAIN.items() for m in re.finditer(p, text or "") if passes(k, m[0])]
+
+
+def found(spark, texts):
+    rows = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    return {r.doc_id: r for r in pii.find(rows).collect()}
+
+
+PARTS = ["a@b.c", "x.y%+-_", "@", ".", "-", " ", "  ", "1.2.3.4", "255.0.0.256", "001.2.3.4", "4111111111111111", "4111 1111-1111 1111", "+49 (30) 1234-567", "+1", "(", ")", "7", "é", "😀", "\n", "Tel. 030 1234567", "DE89 3704 0044 0532 0130 00", "+", "12", "z_d@e.f"]
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=14).map("".join), min_size=30, max_size=60))
+def test_base_spans(spark, texts):
+    got = found(spark, texts)
+    for i, text in enumerate(texts):
+        assert [f"{s.kind}:{s.start}:{s.end}" for s in got[i].pii if s.kind in pii.BASE_KINDS] == base_spans(text), text
+
+
+def test_pii_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op4_pii"](spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        spans = base_spans(texts[r.doc_id])
+        assert r.base_sha256 == sha(",".join(spans))
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s.startswith(k + ":") for s in spans) for k in PLAIN]
+
+
+def test_added_kinds_scores_and_mask(spark):
+    texts = ["IBAN: DE89 3704 0044 0532 0130 00.", "IBAN: DE89 3704 0044 0532 0130 01.", "Tel. 030 1234567", "no 030 1234567", "mail a@b.c and a@b.c", None, ""]
+    got = found(spark, texts)
+    assert [(s.kind, texts[0][s.start : s.end]) for s in got[0].pii] == [("iban", "DE89 3704 0044 0532 0130 00")]
+    assert not got[1].pii and not got[3].pii and got[5].pii == got[6].pii == []
+    assert [s.kind for s in got[2].pii] == ["local_phone"]
+    assert got[4].pii[0].score > 0.9
+    rows = pii.find(spark.createDataFrame(list(enumerate(texts)), DOCS))
+    masked = [r.m for r in rows.select("doc_id", pii.mask(F.col("text"), F.col("pii")).alias("m")).orderBy("doc_id").collect()]
+    assert masked[0] == "IBAN: [IBAN]." and masked[4] == "mail [EMAIL] and [EMAIL]" and masked[5] is None
+
+
+def test_pii_long_texts(spark):
+    texts = ["a" * 300_000, "1" * 300_000, "1 " * 150_000, "a." * 100_000 + "@" + "b." * 100_000 + "c", "+1" * 50_000, "1." * 100_000, "+1" + " " * 200_000]
+    got = found(spark, texts)
+    assert [len(got[i].pii) for i in range(7)] == [0, 0, 0, 1, 0, 25_000, 0]
+    assert got[3].pii[0].kind == "email" and got[3].pii[0].end == len(texts[3])
+    assert [(x.start, x.end) for x in got[5].pii[:2]] == [(0, 7), (8, 15)]
+
+
+# chat
+
+MARKS = ["<", "[", "\\", "|", "s>", "/s>", "INST]", "/INST]", "<SYS>>", "</SYS>>", "<|im_start|>", "<|im_sep|>", "<|im_end|>\n", "<|im_nl|>", "\n", "a", "é"]
+marked = st.lists(st.sampled_from(MARKS), max_size=8).map("".join)
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 6), st.one_of(st.sampled_from(["user", "assistant"]), marked, st.none()), st.one_of(marked, st.none())), min_size=20, max_size=60))
+def test_chat_round_trip(spark, rows):
+    df = spark.createDataFrame(rows, "conv_id BIGINT, turn BIGINT, role STRING, text STRING")
+    made = chat.format_chats(df)
+    got = made.select("conv_id", chat.read_back(F.col("formatted")).alias("turns"), chat.loss_text(F.col("segments")).alias("loss"), "formatted", "segments").collect()
+    assert {r.conv_id for r in got} == {r[0] for r in rows}
+    for r in got:
+        turns = sorted((t, role or "", text or "") for c, t, role, text in rows if c == r.conv_id)
+        assert [(t.role, t.text) for t in r.turns] == [x[1:] for x in turns]
+        assert r.loss == "".join(x[2] for x in turns if x[1] == "assistant")
+        assert "".join(s.text for s in r.segments) == r.formatted
+        assert r.formatted.count(chat.START) == 1 + sum(a[1] != b[1] for a, b in zip(turns, turns[1:], strict=False))
+
+
+def test_chat_edges(spark):
+    none = spark.createDataFrame([], "conv_id BIGINT, turn BIGINT, role STRING, text STRING, formatted STRING")
+    assert chat.format_chats(none).count() == 0
+    long = spark.range(20_000).select(F.lit(None).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.lit("x").alias("text"))
+    assert chat.format_chats(long).select(F.size(chat.read_back(F.col("formatted")))).first()[0] == 20_000
+
+
+# quality
+
+
+def base(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = Counter(zip(words, words[1:], words[2:], strict=False))
+    hit = {j for i in range(len(words) - 2) if windows[tuple(words[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(hit))
+
+
+def test_quality_counts(spark):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["a", "b", "c", " ", "  ", "\n", "\t", "\x0b", "\r", "#", "|", "é", "\xa0", "a b c ", "!"]) for _ in range(rng.randrange(120))) for _ in range(300)]
+    texts += [None, "", " \n\t", "a", "a b", "a b c", "x " * 5000, "a b c a b c"]
+    rows = spark.createDataFrame(list(enumerate(texts)), DOCS)
+    for r in quality.features(rows, "text").collect():
+        assert tuple(r[c] for c in quality.BASE) == base(texts[r.doc_id]), texts[r.doc_id]
+
+
+def test_quality_query(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rows = QUERIES["op9_quality_rules"](spark, SF).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        n, *_, repeated = expected = base(texts[r.doc_id])
+        assert tuple(r[c] for c in quality.BASE) == expected
+        assert r.base_failed == (n < 50 or 100 * repeated > 50 * n)
+        assert not (r.base_failed and r.kept)
+
+
+def test_quality_against_labels(spark):
+    sf = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    rows = [r for r in QUERIES["op9_quality_rules"](spark, sf).collect() if r.doc_id in labels and not r.base_failed]
+    assert sum(r.kept == bool(labels[r.doc_id]) for r in rows) >= 0.98 * len(rows)
+
+
+def test_quality_edges(spark):
+    none = spark.createDataFrame([], "doc_id BIGINT, text STRING, kept STRING, n_words STRING")
+    assert quality.judge(none).count() == 0
+    same = spark.createDataFrame([(1, None), (1, None), (None, "x y z " * 100)], DOCS)
+    assert [r.kept for r in quality.judge(same).collect()] == [False] * 3
+
+
+def test_fit_weighs_rules():
+    counts = {int(json.dumps(k)): v for k, v in {8: 900, 6: 5, 0: 60, 4: 100}.items()}
+    good = quality.fit(counts, 2)
+    assert good[8] > 0.9 > 0.5 > good[0]
+    assert quality.fit({}, 2) == {}
