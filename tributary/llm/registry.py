@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import chat, pii, quality, sharding
+from tributary.llm import bpe, chat, pii, quality, sharding, token_counts
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
 SLOTS = 2039
@@ -24,6 +24,17 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id", SHARDS, SLOTS)
 
 
+def tokenizer(name: str) -> str:
+    """The place of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer("byte_bpe_50k.json"))
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read(spark, sf_dir, "documents", "doc_id", "text")).select("doc_id", "pii")
 
@@ -53,6 +64,12 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe.encode(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(read(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "quality")
@@ -60,8 +77,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1,
+    "op3_token_counts": op3,
     "op4_pii": op4,
     "op5_chat_formatting": op5,
+    "op6_byte_bpe": op6,
     "op9_quality_rules": op9,
 }
 
