@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, pii, quality, sharding, token_counts
+from tributary.llm import bpe, chat, decontaminate, pii, quality, sharding, token_counts
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
 SLOTS = 2039
@@ -70,6 +70,20 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = read(spark, sf_dir, "benchmark", "item_id", "text")
+    found = decontaminate.find(read(spark, sf_dir, "documents", "doc_id", "text"), benchmark)
+    items = F.array_sort(F.transform("found.items", lambda x: x.cast("string")))
+    return found.select(
+        "doc_id",
+        "found.n_words",
+        decontaminate.hit_words(F.col("found")).alias("n_hit"),
+        F.size("found.items").cast("bigint").alias("n_items"),
+        sha256(F.array_join(items, ",")).alias("items_sha256"),
+        (F.size("found.items") >= 2).alias("contaminated"),
+    )
+
+
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(read(spark, sf_dir, "documents", "doc_id", "text"), keep_text=False)
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "quality")
@@ -81,6 +95,7 @@ QUERIES = {
     "op4_pii": op4,
     "op5_chat_formatting": op5,
     "op6_byte_bpe": op6,
+    "op8_decontamination": op8,
     "op9_quality_rules": op9,
 }
 
@@ -105,4 +120,16 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
         ELSE {len(chat.START) + 1 + len(chat.END)} + length(replace({ESCAPED.format("role")}, chr(10), '{chat.NEWLINE}')) END)::BIGINT AS formatted_chars
 FROM k GROUP BY conv_id"""
 
-ORACLE = {"op1_sharding": OP1_SQL, "op5_chat_formatting": OP5_SQL}
+WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+OP8_SQL = f"""WITH b AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT DISTINCT item_id, least(len(w), 8) AS n, array_to_string(w[i:i + least(len(w), 8) - 1], ' ') AS key
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 7, 1) + 1)) AS i FROM b WHERE len(w) > 0)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS_SQL} AS w FROM documents),
+dw AS (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS key FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM bw))),
+hits AS (SELECT r, i, n, item_id FROM dw JOIN bw USING (n, key)),
+words AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM (SELECT DISTINCT r, item_id FROM hits) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
+
+ORACLE = {"op1_sharding": OP1_SQL, "op5_chat_formatting": OP5_SQL, "op8_decontamination": OP8_SQL}
