@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, decontaminate, pii, quality, sharding, token_counts
+from tributary.llm import bpe, chat, decontaminate, neardup, pii, quality, sharding, token_counts
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
 SLOTS = 2039
@@ -70,6 +70,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read(spark, sf_dir, "documents", "doc_id", "text"), tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), percent=85).drop("seal")
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = read(spark, sf_dir, "benchmark", "item_id", "text")
     found = decontaminate.find(read(spark, sf_dir, "documents", "doc_id", "text"), benchmark)
@@ -95,6 +99,7 @@ QUERIES = {
     "op4_pii": op4,
     "op5_chat_formatting": op5,
     "op6_byte_bpe": op6,
+    "op7_near_duplicates": op7,
     "op8_decontamination": op8,
     "op9_quality_rules": op9,
 }
