@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, chat, decontaminate, neardup, pii, quality, sharding, token_counts
+from tributary.llm import bpe, chat, decontaminate, extract, langid, neardup, pii, quality, sharding, token_counts
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
 SLOTS = 2039
@@ -24,6 +24,10 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(docs, "doc_id", SHARDS, SLOTS)
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 def tokenizer(name: str) -> str:
     """The place of a public tokenizer's file."""
     import public_tokenizers
@@ -93,8 +97,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality.BASE, "base_failed", "kept", "quality")
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = langid.fit(read(spark, sf_dir, "documents", "text", "lang"), "text", "lang")
+    return langid.identify(read(spark, sf_dir, "pages", "page_id", "url", "html"), model)
+
+
 QUERIES = {
     "op1_sharding": op1,
+    "op2_html_text": op2,
     "op3_token_counts": op3,
     "op4_pii": op4,
     "op5_chat_formatting": op5,
@@ -102,6 +112,7 @@ QUERIES = {
     "op7_near_duplicates": op7,
     "op8_decontamination": op8,
     "op9_quality_rules": op9,
+    "op10_language_id": op10,
 }
 
 OP1_SQL = f"""WITH RECURSIVE names AS (SELECT i, 'shard-' || lpad(i::VARCHAR, 2, '0') AS name FROM range({len(SHARDS)}) t(i)),
