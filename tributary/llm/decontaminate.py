@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 from tributary.llm.scratch import saved
 
 SIZE = 8
-#: Text of benchmark items in one broadcast; the set takes some 30 times as much in a worker's memory.
-BLOCK_BYTES = 2_000_000
+#: Text of benchmark items in one broadcast; the set takes some 60 times as much in a worker's memory.
+BLOCK_BYTES = 1_000_000
 #: Words of documents that are looked up together in a worker.
 TOGETHER = 250_000
 
@@ -47,11 +47,14 @@ class Windows:
 
     def __init__(self, items: list[tuple[int, str]], size: int = SIZE):
         self.ids: dict[bytes, int] = {}
-        self.windows: dict[tuple[int, ...], set[int]] = {}
+        self.windows: dict[tuple[int, ...], tuple[int, ...]] = {}
         for item, text in items:
             words = [self.ids.setdefault(w, len(self.ids)) for w in words_of(text)]
             for i in range(max(1, len(words) - size + 1) if words else 0):
-                self.windows.setdefault(tuple(words[i : i + size]), set()).add(item)
+                window = tuple(words[i : i + size])
+                known = self.windows.get(window, ())
+                if item not in known:
+                    self.windows[window] = (*known, item)
         rng = np.random.default_rng(7)
         self.odds = rng.integers(1, 1 << 62, size=size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.hashes: dict[int, np.ndarray] = {}
