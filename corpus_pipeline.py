@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import bpe, decontaminate, neardup, pii, quality
@@ -22,14 +22,28 @@ NEAR = 80
 ITEMS = 2
 
 
-def with_text(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The columns in their order; where the text has changed, ``n_chars`` follows it."""
-    return df.select(*[F.length("text").cast("bigint").alias("n_chars") if x == "n_chars" else F.col(x) for x in columns])
+def packed(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, others)``: no column of the documents meets one that an operator adds."""
+    others = [x for x in docs.columns if x not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others, F.lit(0).alias("_")).alias("others"))
+
+
+def unpacked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns as they were; ``n_chars`` follows the text, which may have changed."""
+
+    def one(name: str) -> Column:
+        if name in ("doc_id", "text"):
+            return F.col(name)
+        own = F.col("others")[name]
+        return (F.when(F.col("changed"), F.length("text").cast("bigint")).otherwise(own) if name == "n_chars" else own).alias(name)
+
+    return df.select(*map(one, columns))
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that fail the base rules, or are bad by the weighed votes, go."""
-    return quality.judge(docs).where("kept").select(*docs.columns)
+    kept = quality.judge(packed(docs)).where("kept")
+    return unpacked(kept.withColumn("changed", F.lit(False)), docs.columns)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,14 +54,15 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with passages of several items go; single passages are cut out; all else stays as it is."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    found = decontaminate.find(docs, benchmark).where(F.size("found.items") < ITEMS)
-    return with_text(decontaminate.without_hits(found), docs.columns)
+    found = decontaminate.find(packed(docs), benchmark).where(F.size("found.items") < ITEMS)
+    cut = decontaminate.without_hits(found).withColumn("changed", F.size("found.hits") > 0)
+    return unpacked(cut, docs.columns)
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to its kind in brackets."""
-    found = pii.find(docs).withColumn("text", pii.mask(F.col("text"), F.col("pii")))
-    return with_text(found, docs.columns)
+    found = pii.find(packed(docs)).withColumn("text", pii.mask(F.col("text"), F.col("pii")))
+    return unpacked(found.withColumn("changed", F.size("pii") > 0), docs.columns)
 
 
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,13 @@ def test_hot_keys_are_spread(spark):
     assert sharding.place(rows.limit(0), "source", SHARDS, SLOTS).count() == 0
 
 
+def test_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "a", 2, 3)], "shard BIGINT, slot STRING, spread INT, hot_key INT")
+    for by in (None, "spread"):
+        placed = sharding.place(rows, "slot", SHARDS, SLOTS, spread_by=by)
+        assert placed.columns == ["spread", "hot_key", "slot", "shard"] and placed.first().hot_key == 3
+
+
 def test_write(spark, tmp_path):
     rows = sharding.place(spark.range(100), "id", SHARDS, SLOTS)
     sharding.write(rows, str(tmp_path / "out"))

@@ -82,6 +82,18 @@ def test_on_the_tables(spark):
     assert {r.doc_id for r in stages["near_duplicates"](spark, docs, sf).collect()} == {k for k, v in roots.items() if v[1] == k}
 
 
+def test_other_columns_stay(spark, tmp_path):
+    text = prose(random.Random(1), 200)
+    spark.createDataFrame([(1, text)], "item_id BIGINT, text STRING").where("item_id > 1").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs = spark.createDataFrame([(1, text + " a@b.org", "kept", 7, "p", "f", "o", None)], "doc_id BIGINT, text STRING, kept STRING, quality INT, pii STRING, found STRING, others STRING, n_chars BIGINT")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        row = out.first()
+        assert (row.kept, row.quality, row.pii, row.found, row.others) == ("kept", 7, "p", "f", "o")
+        assert row.n_chars == (len(text) + 8 if name == "personal_data" else None)
+
+
 def test_empty_tables(spark, tmp_path):
     empty = spark.createDataFrame([], "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT")
     empty.write.parquet(str(tmp_path / "documents.parquet"))

@@ -75,14 +75,13 @@ def place(df: DataFrame, key: str, shards: Sequence[str], slots: int, *, spread_
     """
     own = df[key].cast("string")
     if spread_by is not None:
-        hot = F.broadcast(hot_keys(df, key, len(shards)))  # fewer rows than shards, by what hot means
-        df = df.join(hot, df[key].eqNullSafe(hot["hot_key"]), "left")
-        part = F.pmod(F.xxhash64(df[spread_by]), F.col("spread").cast("bigint"))
-        own = F.when(F.col("spread").isNotNull(), F.concat(F.coalesce(own, F.lit("")), F.lit("#"), part.cast("string"))).otherwise(own)
-    df = df.withColumn("slot", slot_of(own, slots))
-    if spread_by is not None:
-        df = df.drop("hot_key", "spread")
-    return df.join(F.broadcast(lookup(df.sparkSession, fill(shards, slots))), "slot", "left").select(*[x for x in df.columns if x != "slot"], "slot", "shard")
+        hot = hot_keys(df, key, len(shards)).select(F.col("hot_key").alias("__hot"), F.col("spread").alias("__spread"))
+        df = df.join(F.broadcast(hot), df[key].eqNullSafe(hot["__hot"]), "left")  # fewer rows than shards, by what hot means
+        part = F.pmod(F.xxhash64(spread_by), F.col("__spread").cast("bigint"))
+        own = F.when(F.col("__spread").isNotNull(), F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("#"), part.cast("string"))).otherwise(F.col(key).cast("string"))
+    kept = [x for x in df.columns if x not in ("slot", "shard", "__hot", "__spread")]
+    keyed = df.withColumn("__slot", slot_of(own, slots)).select(*kept, F.col("__slot").alias("slot"))
+    return keyed.join(F.broadcast(lookup(df.sparkSession, fill(shards, slots))), "slot", "left").select(*kept, "slot", "shard")
 
 
 def write(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
