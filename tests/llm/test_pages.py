@@ -29,11 +29,15 @@ def test_blocks():
     assert texts("<div>x<p>one<p>two<li>three</div>") == ["x", "one", "two", "three"]
     assert texts('<script>var t="</p>";</script><style>p{}</style><!-- <p>no</p> --><p title="a>b">yes &amp; &eacute;&#x41;&nope;</p>') == ["yes & éA&nope;"]
     assert texts("") == [] and texts("plain < 3 & more") == ["plain < 3 & more"]
-    assert texts("<p>a<!-- open") == ["a"] and texts("<script>never closed") == [] and texts('<p>x<a href="y') == ['x<a href="y']
-    assert [b.tags for b in extract.blocks("<ul><li>a<li>b</ul><p>c")] == [("ul", "li"), ("ul", "li"), ("p",)]
+    assert texts("<p>a<!-- open") == texts("<p>a<!-- open <b> x") == ["a"] and texts("<p>a</p> b <!-- <i") == ["a", "b"]
+    assert texts("<script>never closed") == [] and texts('<p>x<a href="y') == ['x<a href="y']
+    assert [(b.parent, sorted(b.tags)) for b in extract.blocks("<ul><li>a<li>b</ul><p>c")] == [("li", ["li", "ul"]), ("li", ["li", "ul"]), ("p", ["p"])]
+    assert [b.linked for b in extract.blocks("<a>one</a> x<p><a>two<p>three</p>four")] == [3, 3, 0, 0]
     assert extract.blocks('<div class="user-comments"><p>x')[0].hints == {"comment"}
     long = "<div>" * 20_000 + "x" + "</div>" * 20_000 + '<a b="' * 1_000
     assert texts(long)[0] == "x"
+    assert texts("<a b " * 200_000) and texts("<p>1 > 0 " + '<a b="' * 50_000)
+    assert len(texts("<div>x" * 30_000 + "</section>" * 30_000)) == 30_000
 
 
 def test_held_out_pages(model):

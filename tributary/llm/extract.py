@@ -13,6 +13,7 @@ an empty table. Other columns pass; ``text`` and ``n_chars`` replace any of the
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -65,7 +66,8 @@ HINTS = {
 @dataclass
 class Block:
     text: str
-    tags: tuple[str, ...]
+    parent: str
+    tags: frozenset[str]
     hints: frozenset[str]
     linked: int
 
@@ -76,20 +78,22 @@ def hints_of(names: str) -> frozenset[str]:
 
 
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks with text, in page order."""
+    """The leaf blocks with text, in page order; in time linear in the page."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []
+    root = ("", frozenset(), frozenset())
+    stack = [root]  # of the open blocks: the tag, and all tags and hints from the root down to it
+    depth: Counter[str] = Counter()
     parts: list[str] = []
     linked = 0
-    at, end = 0, len(page)
+    link_at: int | None = None  # blocks open where the open link began
+    at, end = 0, page.rfind(">") + 1  # no tag ends beyond
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = SPACE.sub(" ", "".join(parts)).strip()
             if text:
-                own = [x for x in stack if x[0] not in INLINE]
-                out.append(Block(text, tuple(x[0] for x in own), frozenset().union(*(x[1] for x in own)), linked))
+                out.append(Block(text, *stack[-1], linked))
             parts.clear()
         linked = 0
 
@@ -98,50 +102,59 @@ def blocks(page: str) -> list[Block]:
         if raw:
             text = unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if any(x[0] == "a" for x in stack):
+            if link_at is not None:
                 linked += len(text)
 
+    def close(keep: int) -> None:
+        nonlocal link_at
+        while len(stack) > keep:
+            depth[stack.pop()[0]] -= 1
+        if link_at is not None and link_at > keep:
+            link_at = None
+
     while at < end:
-        m = TAG.search(page, at)
+        m = TAG.search(page, at, end)
         if m is None:
-            add(page[at:])
+            add(page[at:end])
+            at = end
             break
         add(page[at : m.start()])
         at = m.end()
+        if m[0].startswith("<!--") and not m[0].endswith("-->"):
+            at = len(page)
         slash, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not name:
             continue
         name = name.lower()
-        if slash:
-            if name not in INLINE:
-                flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    # an inline end tag does not close blocks
-                    if name not in INLINE or all(x[0] in INLINE for x in stack[i:]):
-                        del stack[i:]
-                    else:
-                        del stack[i]
-                    break
-            continue
-        if name in RAW:
-            close = re.compile(rf"</{name}[^>]*>", re.IGNORECASE).search(page, at)
-            if not attributes.rstrip().endswith("/"):
-                at = close.end() if close else end
-            continue
         if name == "br":
             parts.append(" ")
+        elif name == "a":
+            link_at = None if slash else len(stack)
+        elif name in INLINE:
             continue
-        if name not in INLINE:
+        elif slash:
+            flush()
+            if depth[name] > 0:
+                keep = len(stack) - 1
+                while stack[keep][0] != name:
+                    keep -= 1
+                close(keep)
+        elif name in RAW:
+            if not attributes.rstrip().endswith("/"):
+                ended = re.compile(rf"</{name}[^>]*>", re.IGNORECASE).search(page, at)
+                at = ended.end() if ended else len(page)
+        else:
             flush()
             for closed in CLOSES.get(name, ()):
-                inner = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] not in INLINE), None)
-                if inner is not None and stack[inner][0] == closed:
-                    del stack[inner:]
-        if name in VOID or attributes.endswith("/"):
-            continue
-        named = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower() if attributes else ""
-        stack.append((name, hints_of(named) if named else frozenset()))
+                if stack[-1][0] == closed:
+                    close(len(stack) - 1)
+            if name in VOID or attributes.endswith("/"):
+                continue
+            _, tags, hints = stack[-1]
+            named = " ".join(a or b or c for a, b, c in NAMED.findall(attributes)).lower() if attributes else ""
+            depth[name] += 1
+            stack.append((name, tags | {name}, hints | hints_of(named) if named else hints))
+    add(page[at:].partition("<!--")[0])
     flush()
     return out
 
@@ -155,8 +168,7 @@ def features(page: list[Block]) -> list[list[str]]:
     for i, b in enumerate(page):
         n = len(b.text)
         words = b.text.count(" ") + 1
-        own = {f"in:{x}" for x in b.tags[-12:]} | {f"hint:{x}" for x in b.hints}
-        own.add(f"parent:{b.tags[-1] if b.tags else ''}")
+        own = {f"in:{x}" for x in b.tags} | {f"hint:{x}" for x in b.hints} | {f"parent:{b.parent}"}
         own.add(f"words:{bucket(words, (3, 6, 12, 25, 60))}")
         own.add(f"linked:{bucket(b.linked / n, (0.01, 0.3, 0.7))}")
         own.add(f"stops:{bucket(sum(map(b.text.count, '.!?')) / words, (0.01, 0.04, 0.1))}")
