@@ -68,13 +68,12 @@ class Counts:
         if len(known) + len(new) > KNOWN:
             known.clear()
             new = list({x for freq in freqs for x in freq})
-        found = dict(zip(new, self.pieces(new), strict=True)) if new else {}
-        known.update((k, v) for k, v in found.items() if len(k) <= LONGEST)
-        if len(known) < len(found) or any(len(k) > LONGEST for k in found):
-            look = {**known, **found}.__getitem__
-        else:
-            look = known.__getitem__
-        return [n + sum(map(int.__mul__, freq.values(), map(look, freq))) for freq, n in zip(freqs, extra, strict=True)]
+        known.update(zip(new, self.pieces(new), strict=True))
+        counts = [n + sum(map(int.__mul__, freq.values(), map(known.__getitem__, freq))) for freq, n in zip(freqs, extra, strict=True)]
+        for x in new:
+            if len(x) > LONGEST:
+                del known[x]
+        return counts
 
 
 @lru_cache(maxsize=1)
