@@ -6,9 +6,9 @@
    paired with its least member, and in buckets of up to ``SMALL`` members all with all. Pairs whose sizes
    already rule the threshold out, or whose 128-bit sketches differ by more than eight standard deviations
    beyond what the threshold leads to expect, go no further.
-3. The pairs are verified on the full sets: first each class's pair with its least partner, then the pairs that
-   still join different components, then, in larger buckets that still have several components, the pairs
-   across components. So no group is turned into all its pairs, and no link between components is left out.
+3. The pairs are verified on the full sets, and their links contracted to components. In larger buckets that
+   still have several components, pairs across components follow, but for those that bit marks of the members'
+   differences from a common pivot rule out. So no group is turned into all its pairs, and no link between components is left out.
 4. Components come from alternating star contractions of the links, as tables.
 
 A link needs ``percent`` of the union in common, on whole sets. The chance that a linked pair shares no band is
@@ -34,6 +34,8 @@ from tributary.llm.shingles import U, circulant, mixed, shingle_sets
 
 BANDS, ROWS = 30, 5
 SMALL = 6
+#: 64-bit words in which a set's difference from a pivot is marked.
+WORDS = 16
 SIGNED = "id BIGINT, seal BIGINT, n INT, set_id BINARY, keys ARRAY<BIGINT>, low BIGINT, high BIGINT"
 
 
@@ -167,33 +169,64 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, percent: int)
     more = first.where("place > 0").select(F.explode(F.expr(f"slice(all, place + 2, {SMALL})")).alias("a"), "b")
     pairs = saved(with_sketches(stars.unionByName(more).distinct(), nodes, percent), "pairs")
 
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    large = met.where(f"members > {SMALL}").select("key", "node", "head")
+    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(large.select("node")).distinct()
     texts = saved(texts_of(docs, nodes, wanted, key, text), "texts")
-    nearest = pairs.groupBy("a").agg(F.min("b").alias("b"))
-    found = components(verified(nearest, texts, percent))
-
-    apart = rooted(rooted(pairs, found, "a", "ra"), found, "b", "rb").where("ra != rb").select("a", "b")
-    rest = verified(apart, texts, percent)
-    merged = rooted(rooted(rest, found, "a", "ra"), found, "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-    found = components(found.unionByName(merged))
-
-    large = rooted(met.where(f"members > {SMALL}").select("key", "node"), found, "node", "root")
-    split = large.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("key")
-    sketch = nodes.select("node", F.struct("n", "low", "high").alias("s"))
-    open_ = saved(large.join(split, "key", "left_semi").join(sketch, "node"), "open")
-    left = open_.select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("s").alias("y"))
-    right = open_.select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("s").alias("x"))
-    across = right.join(left, (right["key"] == left["key"]) & (F.col("ra") != F.col("rb")) & (F.col("a") > F.col("b")) & alike("x", "y", percent))
-    across = saved(across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "across")
+    found = components(verified(pairs, texts, percent))
+
+    placed = rooted(large, found, "node", "root")
+    split = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("key")
+    open_ = saved(placed.join(split, "key", "left_semi"), "open")
+    across = saved(across_roots(open_, nodes, texts, percent).join(pairs, ["a", "b"], "left_anti"), "across")
     if not across.isEmpty():
-        wanted = across.select(F.col("a").alias("node")).unionByName(across.select(F.col("b").alias("node"))).distinct()
-        more_texts = saved(texts.join(wanted, "node", "left_semi").unionByName(texts_of(docs, nodes, wanted.join(texts, "node", "left_anti"), key, text)), "texts")
-        rest = verified(across, more_texts, percent)
-        merged = rooted(rooted(rest, found, "a", "ra"), found, "b", "rb").select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+        rest = verified(across.select("a", "b"), texts, percent)
+        merged = rest.join(across, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
         found = components(found.unionByName(merged))
     return found
 
 
+def across_roots(open_: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, ra, rb)``: pairs within buckets of unlike roots, that nothing known of the two rules out.
+
+    Nodes that buckets connect have one pivot, the least of them. What a set and the pivot do not share is marked
+    in WORDS words of bits. Where two nodes have unlike bits, their sets differ there: there are at most as many
+    such bits as shingles that one has and the other lacks. In a group of copies this leaves little more than the
+    links, whatever the size of the group. A pair is met in the least of its common buckets only.
+    """
+    keys = open_.groupBy("node").agg(F.collect_set("key").alias("keys"))  # BANDS at most
+    pivots = rooted(keys, components(open_.select(F.col("node").alias("a"), F.col("head").alias("b"))), "node", "pivot")
+    left = texts.select("node", F.col("text").alias("own"))
+    right = texts.select(F.col("node").alias("pivot"), F.col("text").alias("other"))
+    marked = pivots.join(left, "node").join(right, "pivot").select("node", "keys", "own", "other")
+    marked = marked.mapInArrow(mark, "node BIGINT, keys ARRAY<BIGINT>, bits ARRAY<BIGINT>")
+    known = nodes.select("node", "n", "low", "high").join(marked, "node")
+    rows = open_.join(known.select("node", F.struct("n", "low", "high", "keys", "bits").alias("s")), "node")
+    left = rows.select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("s").alias("y"))
+    right = rows.select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("s").alias("x"))
+    unlike = F.lit(0)
+    for i in range(WORDS):
+        unlike = unlike + F.bit_count(F.get("x.bits", F.lit(i)).bitwiseXOR(F.get("y.bits", F.lit(i))))
+    near = unlike * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
+    once = F.array_min(F.array_intersect("x.keys", "y.keys")) == right["key"]
+    met = right.join(left, (right["key"] == left["key"]) & (F.col("ra") != F.col("rb")) & (F.col("a") > F.col("b")) & alike("x", "y", percent) & near & once)
+    return met.select("a", "b", "ra", "rb")
+
+
+def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, keys, own text, pivot's text) to (node, keys, bits of the sets' difference)."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, 256):
+            part = batch.slice(begin, 256)
+            half = part.num_rows
+            sets = list(shingle_sets(part.column(2).to_pylist() + part.column(3).to_pylist()))
+            bits = np.zeros((half, WORDS * 64), np.uint8)
+            for i, (x, y) in enumerate(zip(sets[:half], sets[half:], strict=True)):
+                bits[i, np.setxor1d(x, y, assume_unique=True) % U(WORDS * 64)] = 1
+            words = np.packbits(bits, axis=1).view(np.int64)
+            offsets = pa.array(np.arange(0, (half + 1) * WORDS, WORDS, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.ListArray.from_arrays(offsets, pa.array(words.reshape(-1)))], ["node", "keys", "bits"])
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """``(key, seal, n_shingles, component_id, kept)``, one row per document.
 
