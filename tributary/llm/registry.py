@@ -150,4 +150,15 @@ items AS (SELECT r, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_items, 0) >= 2 AS contaminated
 FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)"""
 
-ORACLE = {"op1_sharding": OP1_SQL, "op5_chat_formatting": OP5_SQL, "op8_decontamination": OP8_SQL}
+OP7_SQL = r"""WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM common JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE 100 * k >= 85 * (a.n + b.n - k)),
+sym AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach(x, y) AS (SELECT x, y FROM sym UNION SELECT r.x, b.y FROM reach r JOIN sym b ON r.y = b.x),
+low AS (SELECT x AS doc_id, min(y) AS y FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(y, doc_id)) AS component_id, doc_id <= coalesce(y, doc_id) AS kept
+FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN low USING (doc_id)"""
+
+ORACLE = {"op1_sharding": OP1_SQL, "op5_chat_formatting": OP5_SQL, "op7_near_duplicates": OP7_SQL, "op8_decontamination": OP8_SQL}
