@@ -137,11 +137,26 @@ def test_one_call_a_row_and_faults_stay_in_their_row(spark):
     assert engine.classify_one("raise")["reason"] == "System Error: no model"
 
 
-def test_dedup_calls_once_a_prompt(spark):
+def test_dedup_calls_once_a_text(spark):
     calls = spark.sparkContext.accumulator(0)
-    rows = spark.createDataFrame([(i, "same" if i % 2 else "other") for i in range(50)], "feedback_id BIGINT, prompt STRING")
-    assert infer(rows, lambda: Client(calls), dedup=True).count() == 50
-    assert calls.value == 2
+    rows = spark.createDataFrame([(i, ["same", "other", None][i % 3]) for i in range(60)], "feedback_id BIGINT, feedback STRING")
+    out = Classifier(lambda: Client(calls), taxonomy=tx.SAMPLE).classify(rows, dedup=True)
+    assert out.where("status = 'ok'").count() == 60
+    assert calls.value == 3
+
+
+def test_rate(spark):
+    import time
+
+    rows = spark.range(5).selectExpr("id AS feedback_id", "'x' AS prompt").coalesce(1)
+    began = time.monotonic()
+    assert infer(rows, Quiet, per_second=10).count() == 5
+    assert time.monotonic() - began >= 0.4
+
+
+class Quiet:
+    def chat(self, prompt):
+        return GOOD
 
 
 def test_empty_input(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 from typing import Any, Protocol
 
@@ -34,36 +35,32 @@ def call(client: Client, prompt: str) -> tuple[str | None, str | None, str | Non
         return None, type(error).__name__, str(error)
 
 
-def infer(df: DataFrame, factory: ClientFactory, *, key: str = "feedback_id", prompt: str = "prompt", path: str | None = None, save: bool = True, dedup: bool = False) -> DataFrame:
+def infer(df: DataFrame, factory: ClientFactory, *, key: str = "feedback_id", prompt: str = "prompt", path: str | None = None, save: bool = True, per_second: float | None = None) -> DataFrame:
     """``(key, response, error_class, error_text)``, one row per input row.
 
     A row whose call fails keeps the others unharmed. ``save`` writes the table before anything reads
     it: a plan over ``mapInPandas`` that is run by two actions would call twice. Task retries may still
-    repeat calls; keep ``spark.speculation`` off. ``dedup`` (an extension) calls once per distinct
-    prompt, joined back by the prompt's hash and text; use it where equal prompts are common and the
-    client is deterministic. Null prompts are passed on as they are. Empty input: empty output, no client.
+    repeat calls; keep ``spark.speculation`` off. ``per_second`` (an extension) holds each partition to
+    that many calls a second. Null prompts are passed on as they are. Empty input: empty output, no client.
     """
     rows = df.select(F.col(key).alias("key"), F.col(prompt).alias("prompt"))
-    todo = rows.select("prompt").distinct() if dedup else rows
-    columns = list(todo.columns)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = None
+        client, free = None, time.monotonic()
         for batch in batches:
             if client is None and len(batch):
                 client = factory()
-            got = [call(client, x) for x in batch["prompt"]]
+            got = []
+            for x in batch["prompt"]:
+                if per_second:
+                    time.sleep(max(0.0, free - time.monotonic()))
+                    free = max(free, time.monotonic()) + 1 / per_second
+                got.append(call(client, x))
             out = pd.DataFrame(got, columns=["response", "error_class", "error_text"], dtype=object)
-            for name in columns:
-                out[name] = batch[name].to_numpy()
+            out.insert(0, "key", batch["key"].to_numpy())
             yield out
 
-    kinds = {x.name: x.dataType.simpleString() for x in todo.schema}
-    called = todo.mapInPandas(run, ", ".join(f"{c} {kinds[c]}" for c in columns) + ", " + RESPONSE)
-    if not dedup:
-        called = called.drop("prompt")
+    called = rows.mapInPandas(run, f"key {rows.schema['key'].dataType.simpleString()}, {RESPONSE}")
     if save or path:
         called = materialize(called, path)
-    if dedup:
-        called = rows.join(called, rows["prompt"].eqNullSafe(called["prompt"]), "left").drop("prompt")
-    return called.select(F.col("key").alias(key), "response", "error_class", "error_text")
+    return called.withColumnRenamed("key", key)

@@ -32,9 +32,19 @@ class Classifier:
         """``(feedback_id, prompt)``. The prompt is several kilobytes of constant text: build it last, store it never."""
         return feedback.select("feedback_id", prompt_column(self.template, self.taxonomy, F.col("feedback")).alias("prompt"))
 
-    def respond(self, feedback: DataFrame, **options: Any) -> DataFrame:
-        """The raw replies; see ``infer`` for the options."""
-        return infer(self.prompts(feedback), self.factory, **options)
+    def respond(self, feedback: DataFrame, *, dedup: bool = False, **options: Any) -> DataFrame:
+        """The raw replies; see ``infer`` for the options.
+
+        ``dedup`` (an extension) calls once per distinct feedback and joins the replies back, for inputs with many
+        equal texts and a client that answers alike; the feedback is shuffled, the prompts are not.
+        """
+        if not dedup:
+            return infer(self.prompts(feedback), self.factory, **options)
+        texts = feedback.select("feedback").distinct()
+        once = texts.select("feedback", prompt_column(self.template, self.taxonomy, F.col("feedback")).alias("prompt"))
+        replies = infer(once, self.factory, key="feedback", **options)
+        joined = feedback.join(replies, feedback["feedback"].eqNullSafe(replies["feedback"]), "left")
+        return joined.select("feedback_id", "response", "error_class", "error_text")
 
     def classify(self, feedback: DataFrame, **options: Any) -> DataFrame:
         """One row per row of ``(feedback_id, feedback)``: status, error, JSON text and the four fields."""
