@@ -54,9 +54,8 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with passages of several items go; single passages are cut out; all else stays as it is."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    found = decontaminate.find(packed(docs), benchmark).where(F.size("found.items") < ITEMS)
-    cut = decontaminate.without_hits(found).withColumn("changed", F.size("found.hits") > 0)
-    return unpacked(cut, docs.columns)
+    found = decontaminate.find(packed(docs), benchmark, trim=True).where(F.size("found.items") < ITEMS)
+    return unpacked(found.withColumn("changed", F.size("found.hits") > 0), docs.columns)
 
 
 def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

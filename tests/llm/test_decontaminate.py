@@ -57,7 +57,12 @@ def test_cut(spark):
     items = [(1, "one two three four five six seven eight nine")]
     docs = [(1, "Start. ONE two, three four five six seven eight nine! End é."), (2, "clean  text\n"), (3, None), (4, items[0][1])]
     found = decontaminate.find(spark.createDataFrame([(*d, "") for d in docs], DOCS), spark.createDataFrame(items, ITEMS))
-    assert {r.doc_id: r.text for r in decontaminate.without_hits(found).collect()} == {1: "Start. ! End é.", 2: "clean  text\n", 3: None, 4: ""}
+    expected = {1: "Start. ! End é.", 2: "clean  text\n", 3: None, 4: ""}
+    assert {r.doc_id: r.text for r in decontaminate.without_hits(found).collect()} == expected
+    items.append((2, "no such words here"))
+    for limit in (decontaminate.BLOCK_BYTES, 30):
+        trimmed = decontaminate.find(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), spark.createDataFrame(items, ITEMS), block_bytes=limit, trim=True)
+        assert {r.doc_id: r.text for r in trimmed.collect()} == expected
 
 
 def test_query_against_brute_force(spark):

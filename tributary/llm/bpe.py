@@ -31,8 +31,8 @@ from pyspark.sql import types as T
 from tributary.llm.pretoken import Splitter
 
 CHUNK, OVERLAP, EDGE = 32_768, 1_024, 4
-#: Pre-tokens that a worker remembers, and their length in characters at most: some 120 MB.
-KNOWN, LONGEST = 300_000, 64
+#: Pre-tokens that a worker remembers, and their length in characters at most: some 60 MB.
+KNOWN, LONGEST = 150_000, 48
 MADE = ("ids", "n_tokens", "ids_sha256", "decoded_sha256")
 
 

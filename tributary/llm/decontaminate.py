@@ -124,8 +124,8 @@ def blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[l
         yield block
 
 
-def scanned(docs: DataFrame, windows, text: str) -> DataFrame:
-    """Adds ``found``; ``windows`` is the broadcast of a block, or None for word counts only."""
+def scanned(docs: DataFrame, windows, text: str, trim: bool = False) -> DataFrame:
+    """Adds ``found``; ``windows`` is the broadcast of a block, or None for word counts only. ``trim`` cuts the hits out."""
     names = [x for x in docs.columns if x != "found"]
     schema = docs.select(*names).schema
     rows = docs.select(*names)
@@ -150,7 +150,11 @@ def scanned(docs: DataFrame, windows, text: str) -> DataFrame:
                     flush()
                     group, size = [], 0
             flush()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], [*names, "found"])
+            columns = list(batch.columns)
+            if trim and any(x["hits"] for x in out):
+                texts = [cut(t.as_py(), [(h["start"], h["end"]) for h in x["hits"]]) if x["hits"] else t.as_py() for t, x in zip(columns[place], out, strict=True)]
+                columns[place] = pa.array(texts, columns[place].type)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, kind)], [*names, "found"])
 
     return rows.mapInArrow(run, T.StructType([*schema, T.StructField("found", T.DataType.fromDDL(FOUND))]))
 
@@ -167,14 +171,17 @@ def merged(runs: Column) -> Column:
     return F.aggregate(F.sort_array(runs), F.array().cast(kind), step)
 
 
-def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Adds ``found``: the number of words, the runs of hit words, and the ids of the items with occurring windows, sorted."""
+def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str = "item_id", item_text: str = "text", size: int = SIZE, block_bytes: int = BLOCK_BYTES, trim: bool = False) -> DataFrame:
+    """Adds ``found``: the number of words, the runs of hit words, and the ids of the items with occurring windows, sorted.
+
+    ``trim`` cuts the hit runs out of the texts, in the same pass where the benchmark is one block.
+    """
     context = docs.sparkSession.sparkContext
     made = blocks(benchmark, item, item_text, block_bytes)
     first = next(made, None)
     second = next(made, None)
     if second is None:
-        return scanned(docs, context.broadcast(Windows(first, size)) if first else None, text)
+        return scanned(docs, context.broadcast(Windows(first, size)) if first else None, text, trim)
     texts = docs.select(F.col(text).alias("__text"))
     parts = []
     for block in (b for group in ([first, second], made) for b in group):
@@ -190,7 +197,8 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str
     whole = whole.select("__sha", merged(F.col("h")).alias("__h"), F.col("i").alias("__i"))
     counted = scanned(docs, None, text).withColumn("__sha", F.sha2(text, 256))
     joined = counted.join(whole, "__sha", "left")
-    return joined.withColumn("found", F.struct(F.col("found.n_words"), F.coalesce("__h", "found.hits").alias("hits"), F.coalesce("__i", "found.items").alias("items"))).drop("__sha", "__h", "__i")
+    full = joined.withColumn("found", F.struct(F.col("found.n_words"), F.coalesce("__h", "found.hits").alias("hits"), F.coalesce("__i", "found.items").alias("items"))).drop("__sha", "__h", "__i")
+    return without_hits(full, text) if trim else full
 
 
 def hit_words(found: Column) -> Column:

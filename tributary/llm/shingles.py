@@ -14,7 +14,7 @@ import numpy as np
 
 WIDTH = 5
 #: Bytes of text that are hashed together; what is made on the way takes some 60 times as much.
-TOGETHER = 1_000_000
+TOGETHER = 250_000
 
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
