@@ -77,9 +77,13 @@ class Model:
 
 
 def fit(labelled: DataFrame, text: str, lang: str, rows: int = SAMPLE_ROWS) -> Model:
-    """A model from ``rows`` labelled rows at most: those of the least hashes, whatever their order."""
-    known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sample = known.select(F.substring(text, 1, SAMPLE_CHARS).alias("t"), F.col(lang).alias("l"), F.xxhash64(lang, text).alias("h")).orderBy("h", "l").limit(rows).collect()
+    """A model from ``rows`` labelled rows at most: those of the least hashes, whatever their order, and equal ones once.
+
+    The hashes come first, by themselves, so that each task sends the driver numbers and not texts.
+    """
+    known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.substring(text, 1, SAMPLE_CHARS).alias("t"), F.col(lang).alias("l"), F.xxhash64(lang, text).alias("h"))
+    least = known.select("h").orderBy("h").limit(rows).collect()
+    sample = known.where(F.col("h") <= least[-1].h).dropDuplicates(["h"]).collect() if least else []
     languages = sorted({r.l for r in sample})
     counts = np.full((BUCKETS, max(1, len(languages))), 0.5)
     for r in sample:
