@@ -146,8 +146,8 @@ def identify(pages: DataFrame, model: Model, *, html: str = "html", url: str = "
     hosts = seen.groupBy("__host", "__domain", "__suffix").agg(summed("__soft", n, "__h"))
     domains = hosts.groupBy("__domain", "__suffix").agg(summed("__h", n, "__d"))
     suffixes = domains.groupBy("__suffix").agg(summed("__d", n, "__s"))
-    whole = suffixes.agg(summed("__s", n, "__all"))  # one row
-    levels = hosts.join(domains, ["__domain", "__suffix"]).join(suffixes, "__suffix").crossJoin(F.broadcast(whole)).select(F.col("__host").alias("__key"), "__h", "__d", "__s", "__all")
+    whole = suffixes.agg(summed("__s", n, "__all")).scalar()
+    levels = hosts.join(domains, ["__domain", "__suffix"]).join(suffixes, "__suffix").select(F.col("__host").alias("__key"), "__h", "__d", "__s", whole.alias("__all"))
     said = seen.groupBy(F.col("declared").alias("__said")).agg(summed("__soft", n, "__by"))
 
     joined = seen.join(levels, F.col("__host") == F.col("__key")).join(said, F.col("declared").eqNullSafe(F.col("__said")))

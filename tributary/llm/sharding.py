@@ -63,8 +63,8 @@ def hot_keys(df: DataFrame, key: str, shards: int) -> DataFrame:
     Counts are added up before the shuffle. ``spread`` is the number of parts that bring each below that share.
     """
     counts = df.groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("total"))
-    return counts.crossJoin(F.broadcast(total)).where(F.col("n") * shards > F.col("total")).select("hot_key", F.ceil(F.col("n") * shards / F.col("total")).cast("int").alias("spread"))
+    total = df.agg(F.count("*")).scalar()
+    return counts.where(F.col("n") * shards > total).select("hot_key", F.ceil(F.col("n") * shards / total).cast("int").alias("spread"))
 
 
 def place(df: DataFrame, key: str, shards: Sequence[str], slots: int, *, spread_by: str | None = None) -> DataFrame:
