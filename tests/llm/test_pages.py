@@ -139,3 +139,15 @@ def test_language_query(spark):
     rows = QUERIES["op10_language_id"](spark, SF).collect()
     assert len(rows) == 250
     assert sum(r.lang == r.declared for r in rows) >= 0.9 * 250
+
+
+def test_declaration_anywhere_on_the_page(spark):
+    long = "<!-- " + "licence " * 10_000 + "-->"
+    pages = [long + "<html lang='de'><p>x", "<html data-x='" + "y" * 70_000 + "' LANG = fr-CA><p>x", "<html>" + long + "<html class=a lang=es", long + "<p>x", "<html class=a><p lang=de>"]
+    said = ["de", "fr", "es", None, None]
+    assert [langid.declared(x) for x in pages] == said
+    model = langid.Model(["de", "en", "es", "fr"], np.zeros((langid.BUCKETS, 4)))
+    got = langid.identify(spark.createDataFrame([(i, None, x) for i, x in enumerate(pages)], ROWS), model).collect()
+    assert [r.declared for r in sorted(got, key=lambda r: r.page_id)] == said
+    for x in ("<html " * 200_000, "<html" + " lang" * 200_000, "<html lang=" + " " * 500_000, ("<html lang" + " " * 50) * 10_000):
+        assert langid.declared(x) is None  # in linear time

@@ -36,7 +36,8 @@ TEMPER, BOUND = 0.05, 30.0
 WEIGHT = 8.0
 
 GONE = re.compile(r"<!--(?:[^-]|-(?!->))*+(?:-->|\Z)|<(script|style|noscript|template|title)\b[^>]*>(?:[^<]|<(?!/\1))*+(?:</\1[^>]*>|\Z)|<[a-zA-Z/!?][^>]*+>", re.IGNORECASE)
-DECLARED = re.compile(r"<html\b[^>]*?\slang\s*=\s*[\"']?\s*([a-zA-Z]{2,8})(?![a-zA-Z])", re.IGNORECASE)
+HTML = re.compile(r"<html\b", re.IGNORECASE)
+DECLARED = re.compile(r"\slang\s*+=\s*+[\"']?\s*+([a-zA-Z]{2,8})(?![a-zA-Z])", re.IGNORECASE)
 SIGNS = ("lang", "probability", "declared", "text_lang")
 
 
@@ -47,8 +48,15 @@ def plain(page: str | None) -> str:
 
 
 def declared(page: str | None) -> str | None:
-    m = DECLARED.search((page or "")[: 1 << 16])
-    return m[1].lower() if m else None
+    """What the first ``<html`` tag with a language says, wherever on the page; each tag is read once, up to its ``>``."""
+    page, at = page or "", 0
+    while tag := HTML.search(page, at):
+        at = page.find(">", tag.end())
+        if at < 0:
+            at = len(page)
+        if m := DECLARED.search(page, tag.end(), at):
+            return m[1].lower()
+    return None
 
 
 def trigrams(text: str) -> np.ndarray:
