@@ -151,3 +151,14 @@ def test_declaration_anywhere_on_the_page(spark):
     assert [r.declared for r in sorted(got, key=lambda r: r.page_id)] == said
     for x in ("<html " * 200_000, "<html" + " lang" * 200_000, "<html lang=" + " " * 500_000, ("<html lang" + " " * 50) * 10_000):
         assert langid.declared(x) is None  # in linear time
+
+
+def test_sample_of_different_rows_by_language(spark):
+    texts = [(f"der text nummer {'abcdefghij'[i % 10]} {'klmnopqrst'[i // 10]}", "de") for i in range(40)] * 30 + [("an english text", "en"), ("un texte", "fr"), ("un texto", "es"), (None, "it"), ("x", None)]
+    rows = spark.createDataFrame(texts, "text STRING, lang STRING")
+    model = langid.fit(rows.repartition(5), "text", "lang", rows=10)
+    assert model.languages == ["de", "en", "es", "fr"]
+    hashed = sorted((r.h, r.text) for r in rows.where("lang = 'de'").distinct().withColumn("h", F.xxhash64("lang", "text")).collect())
+    seen = sum(np.bincount(langid.trigrams(x), minlength=langid.BUCKETS) for _, x in hashed[:7]) + 0.5
+    assert np.allclose(model.weights[:, 0], np.log(seen / seen.sum()))
+    assert langid.fit(rows.limit(0), "text", "lang").languages == ["und"]

@@ -15,8 +15,10 @@ gives an empty table. Other columns pass; those that are added replace any of th
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from heapq import nsmallest
 from html import unescape
 
 import numpy as np
@@ -84,14 +86,35 @@ class Model:
         return np.maximum((total - total.max()) * TEMPER, -BOUND)
 
 
+def turns(pairs: Iterable[tuple[str, int]], rows: int) -> list[tuple[str, int]]:
+    """The first ``rows`` different pairs of a language and a hash, where languages take turns from their least hash up.
+
+    Of parts of a whole, the turns of their turns are those of the whole.
+    """
+    by: defaultdict[str, set[int]] = defaultdict(set)
+    for language, h in pairs:
+        by[language].add(h)
+    ranked = sorted((i, h, language) for language, hs in by.items() for i, h in enumerate(nsmallest(rows, hs)))
+    return [(language, h) for _, h, language in ranked[:rows]]
+
+
 def fit(labelled: DataFrame, text: str, lang: str, rows: int = SAMPLE_ROWS) -> Model:
-    """A model from ``rows`` labelled rows at most: those of the least hashes, whatever their order, and equal ones once.
+    """A model from ``rows`` different labelled rows at most, whatever their order and however often they are repeated.
 
-    The hashes come first, by themselves, so that each task sends the driver numbers and not texts.
+    Languages take turns, so each is in it while there are no more than ``rows``. The hashes come first, by
+    themselves, so that each task sends the driver ``rows`` numbers at most and not texts.
     """
     known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.substring(text, 1, SAMPLE_CHARS).alias("t"), F.col(lang).alias("l"), F.xxhash64(lang, text).alias("h"))
-    least = known.select("h").orderBy("h").limit(rows).collect()
-    sample = known.where(F.col("h") <= least[-1].h).dropDuplicates(["h"]).collect() if least else []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list[tuple[str, int]] = []
+        for batch in batches:
+            best = turns([*best, *zip(*(x.to_pylist() for x in batch.columns), strict=True)], rows)
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in best], t) for i, t in enumerate((pa.string(), pa.int64()))], ["l", "h"])
+
+    chosen = turns(((r.l, r.h) for r in known.select("l", "h").mapInArrow(run, "l string, h long").collect()), rows)
+    least = labelled.sparkSession.createDataFrame([(h,) for _, h in chosen], "h long")
+    sample = known.join(F.broadcast(least), "h").dropDuplicates(["h"]).collect()
     languages = sorted({r.l for r in sample})
     counts = np.full((BUCKETS, max(1, len(languages))), 0.5)
     for r in sample:
