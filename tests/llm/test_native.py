@@ -129,6 +129,18 @@ def test_pii_long_texts(spark):
     assert [(x.start, x.end) for x in got[5].pii[:2]] == [(0, 7), (8, 15)]
 
 
+def test_context_anywhere_nearby_and_ibans_before_words(spark):
+    phones = ["Phone number: 030 1234567", "call us at 030 1234567", "Anruf unter 030 1234567", "TÉLÉPHONE du bureau 030 1234567", "llámenos al 030 1234567", "Tel. 030 1234567 oder 030 7654321"]
+    others = ["hotel at 030 1234567", "tell 030 1234567", "locally 030 1234567", "phone " + "x " * 20 + "030 1234567"]
+    got = found(spark, phones + others)
+    assert [[phones[i][s.start : s.end] for s in got[i].pii if s.kind == "local_phone"] for i in range(len(phones))] == [["030 1234567"]] * 5 + [["030 1234567", "030 7654321"]]
+    assert not any(got[len(phones) + i].pii for i in range(len(others)))
+    es, de = "ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00"
+    texts = [f"{es} {x}" for x in ("BIC ..", "BANK OF", "SWIFT", "A B")] + [f"{es} {de}", f"AB12 {de} BIC", es.replace(" ", "") + " BIC", es + "BIC"]
+    got = found(spark, texts)
+    assert [[texts[i][s.start : s.end] for s in got[i].pii if s.kind == "iban"] for i in range(len(texts))] == [[es]] * 4 + [[es, de], [de], [es.replace(" ", "")], []]
+
+
 # chat
 
 MARKS = ["<", "[", "\\", "|", "s>", "/s>", "INST]", "/INST]", "<SYS>>", "</SYS>>", "<|im_start|>", "<|im_sep|>", "<|im_end|>\n", "<|im_nl|>", "\n", "a", "é"]

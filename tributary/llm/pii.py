@@ -1,8 +1,9 @@
 """Personal data: patterns propose spans, checksums confirm them, nearby words adjust their scores.
 
 Kinds, in order: ``email``, ``ip``, ``card``, ``phone`` (the base), ``iban``, ``local_phone`` (added). Matches
-are leftmost and do not overlap within a kind; those that fail a check are dropped without another try. Base
-spans that pass stay whatever their score; an added span needs a score of ``MIN_SCORE``.
+are leftmost and do not overlap within a kind; those that fail a check are dropped without another try, but for
+``iban``: words at its end are left off until the check passes, and it is looked for at every possible beginning.
+Base spans that pass stay whatever their score; an added span needs a score of ``MIN_SCORE``.
 
 The patterns are written for linear time and constant stack: a run of characters is entered at its start or
 where the last match ended, and repeated groups are possessive. Each finds what its plain form finds.
@@ -81,6 +82,17 @@ class Kind:
             return F.length(number).between(7, 11)
         return F.lit(True)
 
+    def accepted(self, match: Column) -> Column:
+        """What of the match passes, or null; a following word in capitals may look like the end of an account number."""
+        if self.name != "iban":
+            return F.when(self.valid(match), match)
+        words = F.split(match, " ")
+        shorter = F.transform(F.sequence(F.size(words), F.lit(1), F.lit(-1)), lambda n: F.array_join(F.slice(words, F.lit(1), n), " "))
+        return F.get(F.filter(shorter, self.valid), F.lit(0))
+
+
+#: Words that make a number without a country code a telephone number.
+CALLS = r"(?iu)(?<!\p{L})(?:tel|t[eé]l[eé](?:ph|f)\p{L}*|phone[sd]?|call(?:s|ed|ing)?|fax\p{L}*|mobil\p{L}*|anruf\p{L}*|ll[aá]m\p{L}*)(?!\p{L})"
 
 # The base kinds' patterns, in their linear forms.
 KINDS = (
@@ -88,32 +100,40 @@ KINDS = (
     Kind("ip", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"[0-9]\.[0-9]", r"\bip\b|host|server|address|adresse", 0.6, 0.3),
     Kind("card", r"(?<![0-9])[0-9](?:[\x20-]?[0-9]){15,}+", r"[0-9]", r"card|visa|credit|karte|carte|tarjeta", 0.8, 0.2),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", r"\+[0-9]", r"tel|phone|call|fax|mobil|anruf|llam", 0.7, 0.2),
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]{4}){2,7}(?:[\x20]?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", r"[A-Z]{2}[0-9]{2}", r"iban|account|konto|compte|cuenta", 0.8, 0.2),
-    Kind("local_phone", r"(?<![0-9A-Za-z+.-])[(]?[0-9][0-9().\x20-]{5,16}[0-9](?![0-9A-Za-z])", r"(?i)tel|phone|call|fax|mobil|anruf|llam", r"\b(?:tel|telephone|phone|call|fax|mobile?|telefon|téléphone|teléfono)\b[.:]?[\x20]*\z", 0.2, 0.4),
+    Kind("iban", r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]{4}){2,7}(?:[\x20]?[A-Z0-9]{1,3})?)(?![A-Za-z0-9]))[A-Z]{2}[0-9]{2}", r"[A-Z]{2}[0-9]{2}", r"iban|account|konto|compte|cuenta", 0.8, 0.2),
+    Kind("local_phone", r"(?<![0-9A-Za-z+.-])[(]?[0-9][0-9().\x20-]{5,16}[0-9](?![0-9A-Za-z])", CALLS, CALLS, 0.2, 0.4),
 )
 
 
 def spans_of(kind: Kind, text: Column) -> Column:
     """The kind's spans as an array of SPAN, in order; places are code points, ends exclusive.
 
-    A text is cut at the matches; the lengths of what lies between and of the matches add up to the places.
+    A text is cut at the matches; the lengths of what lies between and of the matches add up to the places. Where
+    a pattern has a group, that is what is checked, and may go beyond the match.
     """
+    group = F.lit(int(kind.name == "iban"))
     matches = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    found = F.struct(matches.alias("m"), F.split(text, kind.pattern, -1).alias("between"))
+    accepted = F.transform(F.regexp_extract_all(text, F.lit(kind.pattern), group), kind.accepted)
+    found = F.struct(matches.alias("m"), accepted.alias("accepted"), F.split(text, kind.pattern, -1).alias("between"))
     nothing = F.array().cast(f"array<{SPAN}>")
 
     def walk(x: Column) -> Column:
-        start = F.struct(F.lit(0).alias("at"), nothing.alias("out"))
+        start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("free"), F.lit("").alias("last"), nothing.alias("out"))
 
         def step(state: Column, i: Column) -> Column:
-            match, before = F.get(x["m"], i), F.get(x["between"], i)
+            match, whole, before = F.get(x["m"], i), F.get(x["accepted"], i), F.get(x["between"], i)
             begin = state["at"] + F.length(before)
-            end = begin + F.length(match)
-            near = F.lower(F.right(before, F.lit(NEARBY))).rlike(kind.context)
-            score = F.lit(kind.score) + F.when(near, F.lit(kind.lift)).otherwise(F.lit(0.0))
-            take = kind.valid(match) & (F.lit(kind.name in BASE_KINDS) | (score >= MIN_SCORE))
+            end = begin + F.length(whole)
+            last = F.right(F.concat(state["last"], before), F.lit(NEARBY))
+            score = F.lit(kind.score) + F.when(F.lower(last).rlike(kind.context), F.lit(kind.lift)).otherwise(F.lit(0.0))
+            take = whole.isNotNull() & (begin >= state["free"]) & (F.lit(kind.name in BASE_KINDS) | (score >= MIN_SCORE))
             span = F.struct(F.lit(kind.name).alias("kind"), begin.alias("start"), end.alias("end"), score.alias("score")).cast(SPAN)
-            return F.struct(end.alias("at"), F.when(take, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"))
+            return F.struct(
+                (begin + F.length(match)).alias("at"),
+                F.when(take, end).otherwise(state["free"]).alias("free"),
+                F.right(F.concat(last, match), F.lit(NEARBY)).alias("last"),
+                F.when(take, F.concat(state["out"], F.array(span))).otherwise(state["out"]).alias("out"),
+            )
 
         return F.aggregate(F.sequence(F.lit(0), F.size(x["m"]) - 1), start, step, lambda s: s["out"])
 
