@@ -162,3 +162,15 @@ def test_sample_of_different_rows_by_language(spark):
     seen = sum(np.bincount(langid.trigrams(x), minlength=langid.BUCKETS) for _, x in hashed[:7]) + 0.5
     assert np.allclose(model.weights[:, 0], np.log(seen / seen.sum()))
     assert langid.fit(rows.limit(0), "text", "lang").languages == ["und"]
+
+
+def test_formulas_fallbacks_and_unclosed_elements():
+    assert texts("<p>so <math><mrow><mi>a</mi><mo>=</mo><msup><mi>b</mi><mn>2</mn></msup></mrow></math> holds") == ["so a=b2 holds"]
+    assert texts("<p>see <object data=x><param name=y>the <b>plan</b></object> here<p>z") == ["see the plan here", "z"]
+    assert texts("<p>a <noscript><img src=x>picture</noscript> b") == ["a picture b"]
+    for name in ("select", "svg", "template", "noscript", "math", "object"):
+        assert texts(f"<p>a<{name} class=x> b<p>c</p>") == ["a b", "c"], name
+    for name in ("script", "style", "title", "textarea"):
+        assert texts(f"<p>a<{name}> b<p>c</p>") == ["a"], name
+    assert texts("<p>a<svg><text>no</text></svg> b<svg> c") == ["a b c"]
+    assert texts("<p>x" + "<svg><select>" * 200_000)[0] == "x" and texts("<svg>" + "</svg" * 200_000)  # in linear time

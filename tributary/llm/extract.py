@@ -29,9 +29,13 @@ from tributary.llm.made_pages import pages as made_pages
 TRAINING_PAGES = 240
 
 #: Elements within a line; all others end a block.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr input".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr input object param noscript".split()) | frozenset(
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom menclose msub msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml".split()
+)
 #: Elements whose content is no text of the page.
-RAW = frozenset("script style noscript template textarea title xmp iframe noembed noframes svg math object select".split())
+RAW = frozenset("script style template textarea title xmp iframe noembed noframes svg select".split())
+#: Those of them that hold tags, not raw text: where one is never closed, only its tag is no text.
+TREES = frozenset("template svg select".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What an opening tag closes, if it is the innermost open block.
 CLOSES = {x: ("p",) for x in "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()} | {
@@ -87,6 +91,7 @@ def blocks(page: str) -> list[Block]:
     linked = 0
     link_at: int | None = None  # blocks open where the open link began
     at, end = 0, page.rfind(">") + 1  # no tag ends beyond
+    unclosed: set[str] = set()  # elements that nothing closes from here on
 
     def flush() -> None:
         nonlocal linked
@@ -140,9 +145,14 @@ def blocks(page: str) -> list[Block]:
                     keep -= 1
                 close(keep)
         elif name in RAW:
-            if not attributes.rstrip().endswith("/"):
-                ended = re.compile(rf"</{name}[^>]*>", re.IGNORECASE).search(page, at)
-                at = ended.end() if ended else len(page)
+            if not attributes.rstrip().endswith("/") and name not in unclosed:
+                ended = re.compile(rf"</{name}[^>]*>", re.IGNORECASE).search(page, at, end)
+                if ended:
+                    at = ended.end()
+                elif name in TREES:
+                    unclosed.add(name)
+                else:
+                    at = len(page)
         else:
             flush()
             for closed in CLOSES.get(name, ()):
