@@ -102,7 +102,7 @@ def test_prompt_takes_feedback_as_it_is(spark):
     for row in rows.select("i", prompt_column(template, tx.SAMPLE, F.col("feedback")).alias("p")).collect():
         assert row.p == template.render(tx.SAMPLE, texts[row.i])
         assert row.p.startswith("\n") and row.p.endswith("\n")
-    assert 'User: "None"' in template.render(tx.SAMPLE, None)
+    assert 'Message: "None"' in template.render(tx.SAMPLE, None)
 
 
 class Client:
@@ -111,7 +111,7 @@ class Client:
 
     def chat(self, prompt):
         self.calls.add(1)
-        prompt = prompt.rpartition('User: "')[2]
+        prompt = prompt.rpartition('Message: "')[2]
         if "raise" in prompt:
             raise ValueError("no model")
         if "none" in prompt:
@@ -188,6 +188,84 @@ def test_stream_gives_the_batch_rows(spark, tmp_path):
 
     rows = user_turns(spark, "/root/testdata/sf0.001")
     rows.repartition(3).write.parquet(str(tmp_path / "in"))
-    query = classify_stream(Classifier(Echo, taxonomy=tx.SAMPLE), read(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"))
+    query = classify_stream(Classifier(Echo, taxonomy=tx.SAMPLE), read(spark, str(tmp_path / "in"), schema="feedback_id STRING, feedback STRING"), str(tmp_path / "out"), str(tmp_path / "cp"))
     query.awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).count() == rows.count()
+
+
+def test_ids_go_through_untouched(spark):
+    big = (1 << 60) + 1
+    rows = spark.createDataFrame([(big, "fine"), (None, "fine"), (None, "raise"), (3, None)], "feedback_id BIGINT, feedback STRING")
+    for options in ({}, {"dedup": True}):
+        got = Classifier(lambda: Client(Adder()), taxonomy=tx.SAMPLE).classify(rows, **options).collect()
+        assert sorted(((r.feedback_id, r.status) for r in got), key=str) == sorted([(big, "ok"), (None, "ok"), (None, "fallback"), (3, "ok")], key=str)
+    replies = spark.createDataFrame([(big, GOOD, None, None), (None, "x", None, None)], "feedback_id BIGINT, response STRING, error_class STRING, error_text STRING")
+    assert {(r.feedback_id, r.status) for r in results(replies).collect()} == {(big, "ok"), (None, "fallback")}
+    odd = replies.selectExpr("struct(feedback_id, date'2024-01-31' AS d) AS feedback_id", "response", "error_class", "error_text")
+    assert {r.feedback_id.feedback_id for r in results(odd).collect()} == {big, None}
+
+
+def test_columns_named_like_parsed_ones(spark):
+    row = parse_json(spark.createDataFrame([(GOOD, "own", 7)], "t STRING, reason STRING, n INT"), "t").first()
+    assert (row.reason, row.n, row.t) == ("r", 7, GOOD)
+    row = parse_json(spark.createDataFrame([(GOOD,)], "reason STRING"), "reason").first()
+    assert row.reason == "r"
+
+
+class Adder:
+    def add(self, n):
+        pass
+
+
+class Slow:
+    def __init__(self):
+        self.calls = 0
+
+    def chat(self, prompt):
+        import time
+
+        self.calls += 1
+        if "hang" in prompt:
+            time.sleep(60)
+        if "again" in prompt and self.calls < 3:
+            raise OSError("busy")
+        return GOOD
+
+
+def test_hanging_and_failing_calls(spark):
+    rows = spark.createDataFrame([(1, "again"), (2, "hang"), (3, "fine")], "feedback_id BIGINT, prompt STRING").coalesce(1)
+    got = {r.feedback_id: r.error_class for r in infer(rows, Slow, timeout=0.5, retries=2).collect()}
+    assert got == {1: None, 2: "TimeoutError", 3: None}
+    assert {r.error_text for r in infer(rows.where("feedback_id = 2"), Slow, timeout=0.1).collect()} == {"no reply within 0.1 s"}
+
+
+def test_lookup_of_a_key_in_most_rows(spark):
+    from tributary.operators.joins import lookup
+
+    rows = spark.createDataFrame([(i, "hot" if i % 3 else None if i % 2 else f"k{i}", i % 2) for i in range(3000)], "id BIGINT, k STRING, b INT")
+    facts = spark.createDataFrame([("hot", 0, 1), ("hot", 1, 2), (None, 1, 3), ("k6", 0, 4)], "k STRING, b INT, v INT")
+    got = lookup(rows, facts, ["k", "b"], parts=16)
+    assert got.columns == ["id", "k", "b", "v"] and got.count() == 3000
+    known = {(r.k, r.b): r.v for r in facts.collect()}
+    assert all(r.v == known.get((r.k, r.b)) for r in got.collect())
+    assert lookup(rows.limit(0), facts, ["k", "b"]).count() == 0
+
+
+def test_shared_folder(spark, monkeypatch):
+    from tributary.operators import materialize
+
+    made = materialize.materialize(spark.range(3))
+    assert made.count() == 3
+    materialize.clear()
+    with pytest.raises(Exception):
+        made.count()
+
+    class Elsewhere:
+        class sparkContext:
+            master = "spark://host:7077"
+
+        class conf:
+            get = staticmethod(lambda name, default=None: default)
+
+    with pytest.raises(ValueError):
+        materialize.shared_root(Elsewhere)

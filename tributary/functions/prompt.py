@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,45 +19,55 @@ class Example:
     output_json: str
 
 
+def case(text: str, fields: tuple[str, str, str, str]) -> Example:
+    """An example whose record has the four fields, a line each."""
+    names = ("prediction_class", "attribution", "priority", "reason")
+    return Example(text, "{\n" + ",\n".join(f'  "{k}": "{v}"' for k, v in zip(names, fields, strict=True)) + "\n}")
+
+
+CASES = (
+    case("I was billed two times for one order.", ("Payments", "charged twice", "High", "Money was taken that is not owed.")),
+    case("The list takes half a minute to come up.", ("Network", "slow loading", "Medium", "It works, but the wait is long.")),
+    case("My new photo is shown on one page and the old one on the next.", ("Accounts", "profile: picture, name", "Medium", "A change does not reach all pages.")),
+)
+
+
 @dataclass(frozen=True)
 class Template:
-    """The wording around taxonomy and feedback. All of it is the caller's to replace."""
-
-    role: str = "You sort user feedback for a support team."
-    taxonomy_note: str = "Allowed classes with their usual causes:"
-    task: str = "Read the feedback, name its core problem and answer with one JSON object."
-    rules: Sequence[str] = (
-        "prediction_class: one of the classes above.",
-        "attribution: one of the causes listed under that class, or a short phrase of your own if none fits.",
-        "priority: High if it blocks the user, Medium if something works badly, Low for wishes and cosmetics.",
-        "reason: one sentence.",
-    )
-    hints: Sequence[str] = ("Judge the whole message first, single words second.",)
-    examples: Sequence[Example] = field(
-        default=(
-            Example(
-                "I was billed two times for one order.",
-                '{\n    "prediction_class": "Payments",\n    "attribution": "charged twice",\n    "priority": "High",\n    "reason": "The customer lost money."\n}',
-            ),
-        )
+    """The wording around taxonomy and feedback, headings included. All of it is the caller's to replace."""
+
+    opening: str = "You sort user feedback for a support team. For each message, find what went wrong and answer with one JSON object and nothing else."
+    answer_heading: str = "## The object's fields"
+    answer: Sequence[str] = (
+        "prediction_class - a class of the table below, spelled as there",
+        "attribution - a cause listed for that class; where none fits, a few words of your own",
+        "priority - High: the user cannot go on; Medium: something works badly; Low: a wish, or looks only",
+        "reason - one sentence",
     )
+    advice_heading: str = "## When in doubt"
+    advice: Sequence[str] = ("Take the message as a whole before any single word.",)
+    taxonomy_heading: str = "## Classes and their causes"
+    cases_heading: str = "## Solved cases"
+    cases: Sequence[Example] = CASES
+    message: str = "Message"
+    reply: str = "Object"
 
     def prefix(self, taxonomy: Taxonomy) -> str:
         """Everything up to the opening quote of the feedback; starts with a line break."""
         parts = [
-            f"\n# Role\n{self.role}\n",
-            f"# Taxonomy\n{self.taxonomy_note}\n{as_json(taxonomy)}\n",
-            f"# Task\n{self.task}\n",
-            "# Rules\n" + "".join(f"{i}. {rule}\n" for i, rule in enumerate(self.rules, 1)) + "".join(f"- {hint}\n" for hint in self.hints),
-            "# Examples\n" + "\n".join(f'User: "{x.input}"\nAssistant:\n{x.output_json}\n' for x in self.examples),
-            '# Input\nUser: "',
+            f"\n{self.opening}\n",
+            f"{self.answer_heading}\n" + "".join(f"* {x}\n" for x in self.answer),
+            f"{self.advice_heading}\n" + "".join(f"* {x}\n" for x in self.advice),
+            f"{self.taxonomy_heading}\n{as_json(taxonomy)}\n",
+            f"{self.cases_heading}\n" + "\n".join(f'{self.message}: "{x.input}"\n{self.reply}:\n{x.output_json}\n' for x in self.cases),
+            f'{self.message}: "',
         ]
         return "\n".join(parts)
 
     @property
     def suffix(self) -> str:
         """The closing quote and the cue for the answer."""
-        return '"\nAssistant:\n'
+        return f'"\n{self.reply}:\n'
 
     def render(self, taxonomy: Taxonomy, feedback: str | None) -> str:
         """The prompt for one feedback, on the driver."""

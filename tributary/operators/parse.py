@@ -5,9 +5,10 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tributary.functions.response import clean
 
@@ -17,7 +18,7 @@ FIELDS = ("prediction_class", "attribution", "priority", "reason")
 FALLBACK = {"prediction_class": "未分类", "attribution": "解析失败", "priority": "Low"}
 ERROR_PREFIX = "System Error: "
 
-PARSED = "raw_json STRING, " + ", ".join(f"{x} STRING" for x in FIELDS) + ", parse_class STRING, parse_text STRING"
+PARSED = ("raw_json", *FIELDS, "parse_class", "parse_text")
 
 
 def as_text(value: object) -> str:
@@ -45,23 +46,24 @@ def parse_one(text: str) -> tuple:
         return (None, *[None] * len(FIELDS), type(error).__name__, str(error))
 
 
-def parse_json(df: DataFrame, column: str, out: str = PARSED) -> DataFrame:
+def parse_json(df: DataFrame, column: str) -> DataFrame:
     """Adds the columns of PARSED. Python's parser decides: it takes ``NaN``, the last of equal keys and any JSON value, and no text after it.
 
-    Null stays null in all of them.
+    Null stays null in all of them. Other columns pass as Arrow arrays, untouched; those named like one of PARSED are replaced.
     """
-    names = [x.split()[0] for x in out.split(", ")]
+    kept = [x for x in df.columns if x not in PARSED]
+    rows = df.select(*kept, df[column].alias("__reply"))
+    schema = StructType([rows.schema[x] for x in kept])
+    for name in PARSED:
+        schema = schema.add(name, "string")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [parse_one(x) if x is not None else (None,) * len(names) for x in batch[column]]
-            new = pd.DataFrame(got, columns=names, dtype=object)
-            for name in batch.columns:
-                new[name] = batch[name].to_numpy()
-            yield new
-
-    schema = ", ".join(f"`{x.name}` {x.dataType.simpleString()}" for x in df.schema)
-    return df.mapInPandas(run, f"{schema}, {out}")
+            got = [parse_one(x.as_py()) if x.is_valid else (None,) * len(PARSED) for x in batch.column(len(kept))]
+            made = [pa.array([x[i] for x in got], pa.string()) for i in range(len(PARSED))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], schema.fieldNames())
+
+    return rows.mapInArrow(run, schema)
 
 
 def results(responses: DataFrame, key: str = "feedback_id", mode: str = "compat") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tributary.functions.prompt import Template, prompt_column
 from tributary.functions.response import clean_text
 from tributary.operators.infer import ClientFactory, infer
+from tributary.operators.joins import lookup
 from tributary.operators.parse import ERROR_PREFIX, FALLBACK, results
 from tributary.sources.taxonomy import Taxonomy, validated
 
@@ -36,14 +37,15 @@ class Classifier:
         """The raw replies; see ``infer`` for the options.
 
         ``dedup`` (an extension) calls once per distinct feedback and joins the replies back, for inputs with many
-        equal texts and a client that answers alike; the feedback is shuffled, the prompts are not.
+        equal texts and a client that answers alike; the feedback is shuffled, the prompts are not, and a text that
+        fills the table is dealt over many tasks.
         """
         if not dedup:
             return infer(self.prompts(feedback), self.factory, **options)
         texts = feedback.select("feedback").distinct()
         once = texts.select("feedback", prompt_column(self.template, self.taxonomy, F.col("feedback")).alias("prompt"))
         replies = infer(once, self.factory, key="feedback", **options)
-        joined = feedback.join(replies, feedback["feedback"].eqNullSafe(replies["feedback"]), "left")
+        joined = lookup(feedback.select("feedback_id", "feedback"), replies, ["feedback"])
         return joined.select("feedback_id", "response", "error_class", "error_text")
 
     def classify(self, feedback: DataFrame, **options: Any) -> DataFrame:

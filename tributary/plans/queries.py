@@ -103,6 +103,25 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Classifier(Echo, taxonomy=tx.SAMPLE).classify(documents(spark, sf_dir)).select("feedback_id", "status", *FIELDS)
 
 
+class Faulty:
+    """A client that raises, returns None, bytes or nothing, or answers well, by the number at the feedback's end."""
+
+    def chat(self, prompt: str) -> object:
+        n = int(prompt.rpartition(" case ")[2].partition('"')[0])
+        if n % 5 == 0:
+            raise ConnectionError(f"no way to the model in case {n}")
+        return [None, b"{}", "", json.dumps({"prediction_class": "Display", "attribution": "", "priority": "Low", "reason": f"case {n}"})][n % 5 - 1]
+
+
+def q10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of calls that fail, over the whole engine."""
+    from tributary.plans.classifier import Classifier
+
+    numbered = F.concat(F.coalesce("feedback", F.lit("")), F.lit(" case "), F.col("feedback_id").cast("string"))
+    feedback = documents(spark, sf_dir).select("feedback_id", numbered.alias("feedback"))
+    return Classifier(Faulty, taxonomy=tx.SAMPLE).classify(feedback).select("feedback_id", "status", "error_class", "error_text", *FIELDS)
+
+
 QUERIES = {
     "q1_taxonomy_table": q1,
     "q2_taxonomy_lint": q2,
@@ -113,6 +132,7 @@ QUERIES = {
     "q7_membership": q7,
     "q8_outcomes": q8,
     "q9_classify": classified,
+    "q10_faulty_calls": q10,
 }
 
 
@@ -141,8 +161,36 @@ res AS (SELECT feedback_id, CASE WHEN good THEN 'ok' ELSE 'fallback' END AS stat
     {", ".join(f"CASE WHEN good THEN json_extract_string(cleaned, '$.{x}') ELSE {quoted(FALLBACK[x])} END AS {x}" for x in FIELDS[:3])},
     CASE WHEN good THEN json_extract_string(cleaned, '$.reason') WHEN error IS NOT NULL THEN {quoted(ERROR_PREFIX)} || error END AS reason FROM judged)
 """
-PREFIX, SUFFIX = Template().prefix(tx.SAMPLE), Template().suffix
-PROMPT_SQL = f"{quoted(PREFIX)} || coalesce(text, 'None') || {quoted(SUFFIX)}"
+
+
+def text_sql(*parts: str) -> str:
+    """Literals and expressions in turn, joined."""
+    return " || ".join(quoted(x) if i % 2 == 0 else x for i, x in enumerate(parts))
+
+
+def lines_sql(xs: list[str]) -> str:
+    """A line for each element, after a mark."""
+    return f"(SELECT string_agg('* ' || x || chr(10), '' ORDER BY i) FROM (SELECT unnest({LIST(xs)}) AS x, generate_subscripts({LIST(xs)}, 1) AS i))"
+
+
+def prompt_sql() -> str:
+    """The prompt from the template's fields and the taxonomy's rows, put together by SQL, JSON text included."""
+    t = Template()
+    leaves = f"SELECT class_ord, class, string_agg('    ' || to_json(leaf)::VARCHAR, ',' || chr(10) ORDER BY leaf_ord) AS leaves FROM ({TAXONOMY_SQL}) GROUP BY ALL"
+    one = "'  ' || to_json(class)::VARCHAR || ': [' || chr(10) || leaves || chr(10) || '  ]'"
+    tree = f"(SELECT '{{' || chr(10) || string_agg({one}, ',' || chr(10) ORDER BY class_ord) || chr(10) || '}}' FROM ({leaves}))"
+    cases = " || chr(10) || ".join(text_sql(f'{t.message}: "', quoted(x.input), f'"\n{t.reply}:\n', quoted(x.output_json), "\n") for x in t.cases)
+    rules = text_sql(f"\n\n{t.answer_heading}\n", lines_sql(list(t.answer)), f"\n{t.advice_heading}\n", lines_sql(list(t.advice)), f"\n{t.taxonomy_heading}\n", tree)
+    return text_sql("\n", quoted(t.opening), "", rules, f"\n\n{t.cases_heading}\n", cases, f'\n{t.message}: "', "coalesce(text, 'None')", f'"\n{t.reply}:\n')
+
+
+PROMPT_SQL = prompt_sql()
+FAULTS_SQL = """SELECT feedback_id, CASE WHEN n = 4 THEN 'ok' ELSE 'fallback' END AS status, e AS error_class, m AS error_text,
+    CASE WHEN n = 4 THEN 'Display' ELSE '未分类' END AS prediction_class, CASE WHEN n = 4 THEN '' ELSE '解析失败' END AS attribution, 'Low' AS priority,
+    CASE WHEN n = 4 THEN 'case ' || feedback_id ELSE 'System Error: ' || m END AS reason
+FROM (SELECT doc_id AS feedback_id, doc_id % 5 AS n, (['ConnectionError', 'AttributeError', 'TypeError', 'JSONDecodeError', NULL])[n + 1] AS e,
+    (['no way to the model in case ' || doc_id, '''NoneType'' object has no attribute ''strip''', 'startswith first arg must be bytes or a tuple of bytes, not str',
+      'Expecting value: line 1 column 1 (char 0)', NULL])[n + 1] AS m FROM documents)"""
 
 ORACLE = {
     "q1_taxonomy_table": TAXONOMY_SQL,
@@ -157,4 +205,5 @@ ORACLE = {
     "q8_outcomes": BASE_SQL + "SELECT status, prediction_class, priority, error_class, count(*) AS n FROM res GROUP BY ALL",
     "q9_classify": f"""SELECT doc_id AS feedback_id, 'ok' AS status, ({LIST(list(tx.SAMPLE))})[n % {len(tx.SAMPLE)} + 1] AS prediction_class, 'other' AS attribution, 'Low' AS priority, n || ' characters' AS reason
     FROM (SELECT doc_id, length({PROMPT_SQL}) AS n FROM documents)""",
+    "q10_faulty_calls": FAULTS_SQL,
 }

@@ -1,4 +1,4 @@
-"""Feedback as ``(feedback_id BIGINT, feedback STRING)`` from the tables at hand or from files."""
+"""Feedback as ``(feedback_id, feedback STRING)`` from the tables at hand or from files; ids are of any type, BIGINT where files are read."""
 
 from __future__ import annotations
 
@@ -18,9 +18,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user's turns of ``conversations``; the filter reaches the scan."""
+    """The user's turns of ``conversations``, named ``conversation:turn``; the filter reaches the scan."""
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").where(F.col("role") == "user")
-    return turns.select((F.col("conv_id") * 100_000 + F.col("turn")).alias("feedback_id"), F.col("text").alias("feedback"))
+    return turns.select(F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("feedback_id"), F.col("text").alias("feedback"))
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:
