@@ -41,13 +41,18 @@ def test_blocks():
 
 
 def test_held_out_pages(model):
-    right = total = 0
-    for page, known in made_pages.pages(80, seed=99):
-        found = extract.blocks(page)
-        labels = [known[b.text] for b in found]
-        right += sum(a == b for a, b in zip(model.decode(extract.features(found)), labels, strict=True))
-        total += len(labels)
-    assert right >= 0.97 * total
+    """97 percent of blocks where names or tags say what is what, 95 percent where neither does."""
+    right, total = [0, 0], [0, 0]
+    for i in range(80):
+        page = made_pages.Page(99_000_000 + i)
+        found = extract.blocks(page.html())
+        labels = [page.labels.get(b.text) for b in found]
+        if None in labels:  # two blocks in one, where the page leaves out a closing tag
+            continue
+        kind = page.named or page.tagged
+        right[kind] += sum(a == b for a, b in zip(model.decode(extract.features(found)), labels, strict=True))
+        total[kind] += len(labels)
+    assert right[1] >= 0.97 * total[1] and right[0] >= 0.95 * total[0], (right, total)
 
 
 def test_text_query(spark):
@@ -59,7 +64,7 @@ def test_text_query(spark):
         inner = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S)[1]
         same += r.text == " ".join(entities.unescape(re.sub(r"<[^>]*>", " ", inner)).split())
         assert r.n_chars == len(r.text)
-    assert same >= 0.98 * len(rows)
+    assert same == len(rows)
 
 
 def test_text_edges(spark, model):
@@ -170,7 +175,13 @@ def test_formulas_fallbacks_and_unclosed_elements():
     assert texts("<p>a <noscript><img src=x>picture</noscript> b") == ["a picture b"]
     for name in ("select", "svg", "template", "noscript", "math", "object"):
         assert texts(f"<p>a<{name} class=x> b<p>c</p>") == ["a b", "c"], name
+    assert texts("<p>a<select><option>x<p>b</p><select><option>y</select>c") == ["a", "b", "c"]
+    assert texts("<div><template><p>x<template><p>y</template></template><svg><svg></svg><text>no</text></svg>a</div>") == ["a"]
+    assert texts("<article><svg><g></article><p>b<svg><foreignObject><p>in</p></foreignObject></svg>c") == ["bc"]
+    assert texts("<p>a<!-->b<!--->c<!-- x --!>d<p>e") == ["abcd", "e"]
     for name in ("script", "style", "title", "textarea"):
         assert texts(f"<p>a<{name}> b<p>c</p>") == ["a"], name
     assert texts("<p>a<svg><text>no</text></svg> b<svg> c") == ["a b c"]
     assert texts("<p>x" + "<svg><select>" * 200_000)[0] == "x" and texts("<svg>" + "</svg" * 200_000)  # in linear time
+    assert texts("<svg>" * 100_000 + "<p>x") == ["x"] and texts("<template>" * 100_000 + "x" + "</template>" * 99_999) == []
+    assert texts("<select><option>a" * 100_000 + "<p>x") == ["x"]
