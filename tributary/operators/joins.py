@@ -11,16 +11,18 @@ from pyspark.sql import functions as F
 PARTS = 256
 
 
-def lookup(rows: DataFrame, facts: DataFrame, keys: Sequence[str], *, parts: int = PARTS) -> DataFrame:
-    """Left join of ``rows`` with ``facts``, which has one row a key; null keys meet, and the keys stand once in the result.
+def lookup(rows: DataFrame, facts: DataFrame, keys: Sequence[str], *, parts: int = PARTS, counted: DataFrame | None = None, how: str = "left") -> DataFrame:
+    """Join of ``rows`` with ``facts``, which has one row a key; null keys meet, and the keys stand once in the result.
 
     Keys are counted, added up before the shuffle. Those with more than one in ``parts`` rows, fewer than ``parts``
     by what that means, are broadcast as hashes; their rows are dealt by a hash of all columns over as many parts as
     bring each below that share, and their facts are repeated for each part. All other keys are joined as they are.
+    ``counted`` has the rows' keys where counting them in ``rows`` would make these twice.
     """
     whole = F.xxhash64(*keys)
-    counts = rows.groupBy(whole.alias("__hash")).agg(F.count("*").alias("__n"))
-    total = rows.agg(F.count("*")).scalar()
+    counted = rows if counted is None else counted
+    counts = counted.groupBy(whole.alias("__hash")).agg(F.count("*").alias("__n"))
+    total = counted.agg(F.count("*")).scalar()
     spread = F.ceil(F.col("__n") * parts / total).cast("int")
     hot = counts.where(F.col("__n") * parts > total).select("__hash", spread.alias("__spread"))
     left = rows.withColumn("__hash", whole).join(F.broadcast(hot), "__hash", "left")
@@ -31,4 +33,4 @@ def lookup(rows: DataFrame, facts: DataFrame, keys: Sequence[str], *, parts: int
     for i, key in enumerate(keys):
         dealt = dealt.withColumnRenamed(key, f"__key{i}")
         same = same & F.col(key).eqNullSafe(F.col(f"__key{i}"))
-    return left.join(dealt, same, "left").drop("__part", "__with", *[f"__key{i}" for i in range(len(keys))])
+    return left.join(dealt, same, how).drop("__part", "__with", *[f"__key{i}" for i in range(len(keys))])
