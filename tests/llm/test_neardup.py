@@ -128,3 +128,53 @@ def test_signature_estimates_similarity():
             y = np.concatenate([x[:k], rng.integers(0, 1 << 64, size=400 - k, dtype=np.uint64)])
             got.append((signer.sign(x) == signer.sign(y)).mean())
         assert abs(np.mean(got) - share) < 0.03
+
+
+def test_a_template_in_many_unlinked_texts(spark, monkeypatch):
+    """300 shared and 75 own words, no link at 85 percent: pairs grow with the rows, not with their square."""
+    made, read = [], []
+    sketched, verified = neardup.sketched, neardup.verified
+    monkeypatch.setattr(neardup, "sketched", lambda pairs, *rest: made.append(pairs.count()) or sketched(pairs, *rest))
+    monkeypatch.setattr(neardup, "verified", lambda pairs, *rest: read.append(pairs.count()) or verified(pairs, *rest))
+    shared = " ".join(f"t{i}" for i in range(300))
+    for n in (300, 1200):
+        made.clear()
+        read.clear()
+        rows = spark.createDataFrame([(i, f"{shared} {' '.join(f'o{i}x{j}' for j in range(75))}") for i in range(n)], DOCS).repartition(8)
+        assert neardup.near_duplicates(rows, percent=85).where("kept").count() == n
+        assert sum(made) <= 8 * n and sum(read) <= 0.1 * n, (n, made, read)
+
+
+def test_templates_with_links_across_buckets(spark, monkeypatch):
+    """Groups around one template, linked within and not across, in lists that are cut into blocks."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    rng = random.Random(9)
+    shared = [f"t{i}" for i in range(120)]
+    docs = {}
+    for group in range(12):
+        own = [f"g{group}x{j}" for j in range(40)]
+        for _ in range(12):
+            words = [*shared, *own]
+            for _ in range(rng.randrange(3)):
+                words[rng.randrange(160)] = f"v{rng.randrange(40)}"
+            docs[len(docs)] = " ".join(words)
+    rows = spark.createDataFrame(list(docs.items()), DOCS).repartition(5)
+    for percent in (85, 80):
+        check(neardup.near_duplicates(rows, percent=percent).collect(), docs, percent)
+
+
+def test_long_words_and_sketches():
+    a, b = "x" * 300, "x" * 299 + "y"
+    sets = list(shingles.shingle_sets([f"{a} b c d e", f"{b} b c d e", f"{a} b c d e"]))
+    assert sets[0] != sets[1] and sets[0] == sets[2]
+    thue = ["a", "b"]
+    for _ in range(11):
+        thue = [thue[0] + thue[1], thue[1] + thue[0]]
+    x, y = shingles.shingle_sets(thue)
+    assert x != y
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        x, y = (np.unique(rng.integers(0, 1 << 64, size=rng.integers(1, 3000), dtype=np.uint64)) for _ in range(2))
+        y = np.unique(np.concatenate([x[: rng.integers(len(x) + 1)], y[: rng.integers(40)]]))
+        unlike = sum(int(v).bit_count() for v in (neardup.odd_sketch(x) ^ neardup.odd_sketch(y)).view(np.uint64))
+        assert unlike <= len(np.setxor1d(x, y))

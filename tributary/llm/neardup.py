@@ -2,26 +2,33 @@
 
 1. Each text's shingle set is hashed and signed (see ``shingles``). Texts of equal sets are one class from here
    on, however many rows they are; the class's least id stands for it.
-2. The signature is cut into bands; classes that agree in a band meet in a bucket. In each bucket all are
-   paired with its least member, and in buckets of up to ``SMALL`` members all with all. Pairs whose sizes
-   already rule the threshold out, or whose 128-bit sketches differ by more than eight standard deviations
-   beyond what the threshold leads to expect, go no further.
-3. The pairs are verified on the full sets, and their links contracted to components. In larger buckets that
-   still have several components, pairs across components follow, but for those that bit marks of the members'
-   differences from a common pivot rule out. So no group is turned into all its pairs, and no link between components is left out.
-4. Components come from alternating star contractions of the links, as tables.
-
-A link needs ``percent`` of the union in common, on whole sets. The chance that a linked pair shares no band is
-2e-8 at 85 percent and 7e-6 at 80.
+2. The signature is cut into bands; classes that agree in a band meet in a bucket. Buckets are dealt by ranges of
+   (band's key, class), so that a large one lies in several tasks. All members are paired with the first of their
+   part, these with each other's least, and in buckets of up to ``SMALL`` members all with all.
+3. Pairs that sizes or odd sketches rule out go no further; the others are verified on the full sets, and their links
+   contracted to components. A sketch has a bit for each remainder of the shingles' hashes, set where an odd number of
+   shingles has it: two sketches differ in no more bits than the sets in shingles, so no linked pair is ruled out.
+4. Larger buckets that still hold several components are open. Their classes meet again by the rarest of their
+   shingles, so many that linked sets must have one of these in common, which is not what a template has in many of
+   them. Of these lists, again all are paired with one member, another in each list; then, in lists with several
+   components left, all pairs across components that places, sizes and sketches leave. Lists of any length are
+   cut into blocks that meet in tasks of their own. So no group is turned into all its pairs, and no link between
+   components is left out.
+5. Components come from alternating star contractions of the links, as tables.
+
+A link needs ``percent`` of the union in common, on whole sets. All steps but the bands are exact; the chance that a
+linked pair shares no band is 2e-8 at 85 percent and 7e-6 at 80.
 
 Nulls: texts without words are linked with nothing. Rows with a null id take part; a component of such rows only
 has a null id. Rows of one id and unlike texts are judged each by its text. An empty table gives an empty table.
+Ties: of equal ids any row may stand for its class, the result is the same. Texts of any length are read whole; the
+hashes of one text, or of a pair, lie in a worker's memory. Signatures of texts of millions of words become alike,
+as they fill the permutations' universe: such texts are verified with more others than they need to be.
 Only the id and the text are read; other columns stay behind.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,12 +38,29 @@ from pyspark.sql import functions as F
 
 from tributary.llm.scratch import saved
 from tributary.llm.shingles import U, circulant, mixed, shingle_sets
+from tributary.operators.joins import lookup
 
 BANDS, ROWS = 30, 5
 SMALL = 6
-#: 64-bit words in which a set's difference from a pivot is marked.
+#: 64-bit words of an odd sketch.
 WORDS = 16
-SIGNED = "id BIGINT, seal BIGINT, n INT, set_id BINARY, keys ARRAY<BIGINT>, low BIGINT, high BIGINT"
+#: Members of a list that meet in one task.
+BLOCK = 512
+#: Cells of the table of shingles' counts, as powers of two: as many as shingles within these bounds, a byte each. Cells that shingles share only make some look less rare.
+CELLS = (16, 24)
+SIGNED = "id BIGINT, seal BIGINT, n INT, set_id BINARY, keys ARRAY<BIGINT>, bits ARRAY<BIGINT>"
+PAIR, MEMBER, EDGE = 0, 1, 2
+
+
+def odd_sketch(hashes: np.ndarray) -> np.ndarray:
+    counts = np.bincount((hashes % U(WORDS * 64)).astype(np.int64), minlength=WORDS * 64)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
+def lists(values: list[np.ndarray], sizes: list[int]) -> pa.Array:
+    """Arrays of BIGINT from their values in a row."""
+    ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(values) if values else np.zeros(0, np.int64), pa.int64()))
 
 
 def sign(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -54,22 +78,18 @@ def sign(docs: DataFrame, key: str, text: str) -> DataFrame:
                 sizes.append(len(hashes))
                 if not len(hashes):
                     ids.append(None)
-                    bits.append((0, 0))
                     continue
                 least = signer.sign(hashes)
                 ids.append(hashes.sum(dtype=U).tobytes() + mixed(hashes ^ U(0xABCDEF)).sum(dtype=U).tobytes())
                 keys.append(mixed((least.reshape(BANDS, ROWS).astype(U) * odds).sum(axis=1, dtype=U) ^ band).view(np.int64))
-                bits.append(tuple(np.packbits((least[:128] & 1).astype(np.uint8)).view(np.int64).tolist()))
-            ends = np.concatenate([[0], np.cumsum([BANDS if n else 0 for n in sizes])]).astype(np.int32)
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+                bits.append(odd_sketch(hashes))
             columns = [
                 batch.column(0),
                 batch.column(1),
                 pa.array(sizes, pa.int32()),
                 pa.array(ids, pa.binary()),
-                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64())),
-                pa.array([x[0] for x in bits], pa.int64()),
-                pa.array([x[1] for x in bits], pa.int64()),
+                lists(keys, [BANDS if n else 0 for n in sizes]),
+                lists(bits, [WORDS if n else 0 for n in sizes]),
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
@@ -77,35 +97,96 @@ def sign(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def classes(signed: DataFrame) -> DataFrame:
-    """``(node, set_id, id, seal, n, keys, low, high)``, a row per distinct set; ``id`` and ``seal`` name one row that has it."""
+    """``(node, set_id, id, seal, n, keys, bits)``, a row per distinct set; ``id`` and ``seal`` name one row that has it."""
     first = F.struct(F.col("id").isNull().alias("none"), "id", "seal")
-    rest = [F.first(x).alias(x) for x in ("n", "keys", "low", "high")]
+    rest = [F.first(x).alias(x) for x in ("n", "keys", "bits")]
     grouped = signed.where("n > 0").groupBy("set_id").agg(F.min(first).alias("row"), *rest)
-    return grouped.select(F.monotonically_increasing_id().alias("node"), "set_id", "row.id", "row.seal", "n", "keys", "low", "high")
+    return grouped.select(F.monotonically_increasing_id().alias("node"), "set_id", "row.id", "row.seal", "n", "keys", "bits")
 
 
-def alike(a: str, b: str, percent: int) -> Column:
-    """False where sizes or sketches rule a link out."""
-    odds = (100 - percent) / 200
-    far = math.ceil(128 * odds + 8 * math.sqrt(128 * odds * (1 - odds)))
-    sizes = F.least(f"{a}.n", f"{b}.n") * 100 >= F.greatest(f"{a}.n", f"{b}.n") * percent
-    apart = F.bit_count(F.col(f"{a}.low").bitwiseXOR(F.col(f"{b}.low"))) + F.bit_count(F.col(f"{a}.high").bitwiseXOR(F.col(f"{b}.high")))
-    return sizes & (apart <= far)
+def near_sizes(a: Column, b: Column, percent: int) -> Column:
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
-def with_sketches(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` that sizes and sketches leave."""
-    sketch = F.struct("n", "low", "high")
+def sketched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The distinct pairs ``(a, b)`` that sizes and sketches leave."""
+    sketch = F.struct("n", "bits")
     left = nodes.select(F.col("node").alias("a"), sketch.alias("x"))
     right = nodes.select(F.col("node").alias("b"), sketch.alias("y"))
-    return pairs.join(left, "a").join(right, "b").where(alike("x", "y", percent)).select("a", "b")
+    unlike = F.lit(0)
+    for i in range(WORDS):
+        unlike = unlike + F.bit_count(F.get("x.bits", F.lit(i)).bitwiseXOR(F.get("y.bits", F.lit(i))))
+    near = unlike * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
+    joined = lookup(pairs.select("a", "b").distinct().join(left, "a"), right, ["b"], counted=pairs, how="inner")
+    return joined.where(near_sizes(F.col("x.n"), F.col("y.n"), percent) & near).select("a", "b")
+
+
+def meet(rows: DataFrame, small: int, members: bool) -> DataFrame:
+    """Pairs within lists, from ``(key, place, node, root)``: ``(kind, x, y)``.
+
+    Rows are dealt by ranges of (key, place, node), so that a list of any length is spread over tasks as its length
+    asks. ``PAIR``: x is a member and y the first of its list in the task, of unlike roots; in lists of up to ``small``
+    members all pairs. ``MEMBER``: (key, node) of longer lists, or of those that may go on beyond what is seen.
+    ``EDGE``: (key, node) of the first member of lists at the task's ends.
+    """
+    ranged = rows.select("key", "place", "node", "root").repartitionByRange("key", "place", "node").sortWithinPartitions("key", "place", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(kind: int, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int8)), pa.array(x), pa.array(y)], ["kind", "x", "y"])
+
+        known = None  # the last list's key, first node and its root
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, node, root = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2, 3))
+            start = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+            size = np.diff(np.concatenate([start, [len(key)]]))
+            first, first_root = node[start].copy(), root[start].copy()
+            goes_on = known is not None and known[0] == key[0]
+            if goes_on:
+                first[0], first_root[0] = known[1:]
+            which = np.repeat(np.arange(len(start)), size)
+            paired = (node != first[which]) & (root != first_root[which])
+            yield out(PAIR, node[paired], first[which][paired])
+            whole = size <= small  # lists seen from end to end
+            whole[-1] = False
+            if known is None or goes_on:
+                whole[0] = False
+            rank = np.arange(len(key)) - start[which]
+            for back in range(1, small - 1):
+                at = np.flatnonzero(whole[which] & (rank > back))
+                at = at[root[at] != root[at - back]]
+                yield out(PAIR, node[at], node[at - back])
+            if members:
+                rest = ~whole[which]
+                yield out(MEMBER, key[rest], node[rest])
+            if known is None:
+                yield out(EDGE, key[:1], first[:1])
+            known = (key[-1], first[-1], first_root[-1])
+        if known is not None:
+            yield out(EDGE, np.array([known[0]]), np.array([known[1]]))
+
+    return ranged.mapInArrow(run, "kind TINYINT, x BIGINT, y BIGINT")
+
+
+def pairs_met(met: DataFrame) -> DataFrame:
+    """The pairs ``(a, b)`` that ``meet`` made, with those of lists that go on over several tasks; ``a`` is the greater."""
+    edges = met.where(F.col("kind") == EDGE).select(F.col("x").alias("key"), F.col("y").alias("node")).distinct()  # two a task at most
+    least = edges.groupBy("key").agg(F.min("node").alias("least"))
+    bridges = edges.join(least, "key").where("node != least").select(F.col("node").alias("x"), F.col("least").alias("y"))
+    both = met.where(F.col("kind") == PAIR).select("x", "y").unionByName(bridges)
+    return both.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets have ``percent`` of their union in common."""
+    """The pairs whose full sets have ``percent`` of their union in common.
+
+    Each pair goes to its second member with the text of the first; a member of very many pairs is dealt over tasks.
+    """
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
+    joined = lookup(pairs.join(left, "a"), right, ["b"], counted=pairs, how="inner").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,71 +241,99 @@ def texts_of(docs: DataFrame, nodes: DataFrame, wanted: DataFrame, key: str, tex
 
 def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, percent: int) -> DataFrame:
     """The components of the classes, as stars."""
-    buckets = nodes.select("node", F.explode("keys").alias("key"))
-    shared = buckets.groupBy("key").agg(F.count("*").alias("members"), F.min("node").alias("head")).where("members > 1")
-    met = saved(buckets.join(shared, "key"), "buckets")
-    stars = met.where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b"))
-    few = met.where(f"members BETWEEN 3 AND {SMALL}").groupBy("key").agg(F.sort_array(F.collect_list("node")).alias("all"))
-    first = few.select("all", F.posexplode("all").alias("place", "b"))
-    more = first.where("place > 0").select(F.explode(F.expr(f"slice(all, place + 2, {SMALL})")).alias("a"), "b")
-    pairs = saved(with_sketches(stars.unionByName(more).distinct(), nodes, percent), "pairs")
-
-    large = met.where(f"members > {SMALL}").select("key", "node", "head")
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).unionByName(large.select("node")).distinct()
+    buckets = nodes.select(F.explode("keys").alias("key"), F.lit(0).alias("place"), "node", F.col("node").alias("root"))
+    met = saved(meet(buckets, SMALL, True), "met")
+    tested = saved(sketched(pairs_met(met), nodes, percent), "pairs")
+    large = met.where(F.col("kind") == MEMBER).select(F.col("x").alias("key"), F.col("y").alias("node"))
+    wanted = tested.select(F.explode(F.array("a", "b")).alias("node")).unionByName(large.select("node")).distinct()
     texts = saved(texts_of(docs, nodes, wanted, key, text), "texts")
-    found = components(verified(pairs, texts, percent))
-
-    placed = rooted(large, found, "node", "root")
-    split = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 != r1").select("key")
-    open_ = saved(placed.join(split, "key", "left_semi"), "open")
-    across = saved(across_roots(open_, nodes, texts, percent).join(pairs, ["a", "b"], "left_anti"), "across")
-    if not across.isEmpty():
-        rest = verified(across.select("a", "b"), texts, percent)
-        merged = rest.join(across, ["a", "b"]).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
-        found = components(found.unionByName(merged))
+    found = components(verified(tested, texts, percent))
+
+    open_ = saved(split(rooted(large, found, "node", "root")).select("node").distinct().join(nodes.select("node", "n"), "node"), "open")
+    if open_.isEmpty():
+        return found
+    rare = saved(prefixes(open_, texts, percent), "prefixes")
+    stars = meet(rooted(rare, found, "node", "root").withColumn("place", F.xxhash64("key", "node")), 2, False)
+    for candidates in (lambda now: pairs_met(stars), lambda now: across(rooted(rare, now, "node", "root"), percent)):
+        pairs = saved(sketched(candidates(found), nodes, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            found = components(found.unionByName(verified(pairs, texts, percent)))
+            tested = tested.unionByName(pairs)
     return found
 
 
-def across_roots(open_: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """``(a, b, ra, rb)``: pairs within buckets of unlike roots, that nothing known of the two rules out.
+def split(rows: DataFrame) -> DataFrame:
+    """The rows ``(key, node, root, ..)`` of the lists that have several roots, with ``members``, the list's length."""
+    several = rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("members")).where("r0 != r1")
+    return lookup(rows, several.select("key", "members"), ["key"], how="inner")
 
-    Nodes that buckets connect have one pivot, the least of them. What a set and the pivot do not share is marked
-    in WORDS words of bits. Where two nodes have unlike bits, their sets differ there: there are at most as many
-    such bits as shingles that one has and the other lacks. In a group of copies this leaves little more than the
-    links, whatever the size of the group. A pair is met in the least of its common buckets only.
+
+def prefixes(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """``(key, node, n, pos)``: the rarest shingles of each open class, in order, of which linked sets share one.
+
+    Rarity is a shingle's number of open classes, counted in a table of cells that goes to the workers; any order
+    would do, and of shingles as rare the hash decides.
     """
-    keys = open_.groupBy("node").agg(F.collect_set("key").alias("keys"))  # BANDS at most
-    pivots = rooted(keys, components(open_.select(F.col("node").alias("a"), F.col("head").alias("b"))), "node", "pivot")
-    left = texts.select("node", F.col("text").alias("own"))
-    right = texts.select(F.col("node").alias("pivot"), F.col("text").alias("other"))
-    marked = pivots.join(left, "node").join(right, "pivot").select("node", "keys", "own", "other")
-    marked = marked.mapInArrow(mark, "node BIGINT, keys ARRAY<BIGINT>, bits ARRAY<BIGINT>")
-    known = nodes.select("node", "n", "low", "high").join(marked, "node")
-    rows = open_.join(known.select("node", F.struct("n", "low", "high", "keys", "bits").alias("s")), "node")
-    left = rows.select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("s").alias("y"))
-    right = rows.select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("s").alias("x"))
-    unlike = F.lit(0)
-    for i in range(WORDS):
-        unlike = unlike + F.bit_count(F.get("x.bits", F.lit(i)).bitwiseXOR(F.get("y.bits", F.lit(i))))
-    near = unlike * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
-    once = F.array_min(F.array_intersect("x.keys", "y.keys")) == right["key"]
-    met = right.join(left, (right["key"] == left["key"]) & (F.col("ra") != F.col("rb")) & (F.col("a") > F.col("b")) & alike("x", "y", percent) & near & once)
-    return met.select("a", "b", "ra", "rb")
-
-
-def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, keys, own text, pivot's text) to (node, keys, bits of the sets' difference)."""
-    for batch in batches:
-        for begin in range(0, batch.num_rows, 256):
-            part = batch.slice(begin, 256)
-            half = part.num_rows
-            sets = list(shingle_sets(part.column(2).to_pylist() + part.column(3).to_pylist()))
-            bits = np.zeros((half, WORDS * 64), np.uint8)
-            for i, (x, y) in enumerate(zip(sets[:half], sets[half:], strict=True)):
-                bits[i, np.setxor1d(x, y, assume_unique=True) % U(WORDS * 64)] = 1
-            words = np.packbits(bits, axis=1).view(np.int64)
-            offsets = pa.array(np.arange(0, (half + 1) * WORDS, WORDS, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.ListArray.from_arrays(offsets, pa.array(words.reshape(-1)))], ["node", "keys", "bits"])
+    spark = open_.sparkSession
+    own = texts.join(open_, "node").select("node", "text")
+    cells = min(max(int(open_.agg(F.sum("n")).first()[0]).bit_length(), CELLS[0]), CELLS[1])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = np.concatenate([np.zeros(0, U), *shingle_sets(batch.column(1).to_pylist())]) >> U(64 - cells)
+            cell, n = np.unique(got, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(n.astype(np.int64))], ["cell", "n"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            level = np.minimum(4 * np.log2(n), 255).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (cell, level)], ["cells", "levels"])
+
+    summed = own.mapInArrow(count, "cell INT, n BIGINT").groupBy("cell").agg(F.sum("n").alias("n"))
+    table = np.zeros(1 << cells, np.uint8)
+    for row in summed.mapInArrow(pack, "cells BINARY, levels BINARY").collect():  # five bytes a cell at most
+        table[np.frombuffer(row.cells, np.int32)] = np.frombuffer(row.levels, np.uint8)
+    sent = spark.sparkContext.broadcast(table)  # a byte a cell, whatever the input
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = sent.value
+        for batch in batches:
+            keys, sizes, all_ = [], [], []
+            for hashes in shingle_sets(batch.column(1).to_pylist()):
+                n = len(hashes)
+                order = np.lexsort((mixed(hashes), levels[hashes >> U(64 - cells)]))
+                keys.append(hashes[order[: n - (n * percent + 99) // 100 + 1]].view(np.int64))
+                sizes.append(len(keys[-1]))
+                all_.append(n)
+            total = np.array(sizes, np.int64)
+            pos = np.arange(total.sum()) - np.repeat(np.cumsum(total) - total, total)
+            columns = [
+                pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)),
+                pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), total)),
+                pa.array(np.repeat(np.array(all_, np.int32), total)),
+                pa.array(pos.astype(np.int32)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "node", "n", "pos"])
+
+    return own.mapInArrow(cut, "key BIGINT, node BIGINT, n INT, pos INT")
+
+
+def across(rows: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: pairs within lists ``(key, node, n, pos, root)``, of unlike roots, that may yet be linked.
+
+    What follows a common shingle bounds what two sets can share. A list is cut into blocks; each two of
+    them, and each with itself, meet under a key of their own.
+    """
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    dealt = split(rows).withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.struct("node", "n", "pos", "root", "own").alias("s"))
+    left, right = dealt.withColumnRenamed("s", "x"), dealt.withColumnRenamed("s", "y")
+    shared = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
+    may = shared * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
+    once = (F.col("i") == F.col("j")) | (F.col("x.own") != F.col("y.own"))
+    met = left.join(right, ["key", "i", "j"]).where((F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & once & may)
+    return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -238,7 +347,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     labelled = rooted(nodes.select("node", "set_id", F.col("id").alias("least")), stars, "node", "root")
     heads = labelled.groupBy("root").agg(F.min("least").alias("component"))
     named = labelled.join(heads, "root").select("set_id", "component")
-    joined = signed.select("id", "seal", "n", "set_id").join(named, "set_id", "left")
+    joined = lookup(signed.select("id", "seal", "n", "set_id"), named, ["set_id"])
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return joined.select(F.col("id").alias(key), "seal", F.col("n").cast("bigint").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 

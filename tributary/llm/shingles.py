@@ -2,17 +2,21 @@
 
 Words are ``[^\\x20\\x09-\\x0D]+`` after A-Z become lower case. A text's set has the hashes of its runs of
 ``WIDTH`` words; of a text of fewer words, but not none, the hash of all of them. Hashes are compared instead of
-words: two of a set's shingles are taken for one with a chance of about 2 to the power -64 a pair.
+words: two unlike shingles of ordinary texts are taken for one with a chance of about 2 to the power -64. Words up to
+``LONG`` bytes are hashed by a polynomial modulo 2 to the 64, for which someone who sets out to can make
+words that collide; the known way to do so needs longer words, and these are hashed by blake2b.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 
 WIDTH = 5
+LONG = 256
 #: Bytes of text that are hashed together; what is made on the way takes some 60 times as much.
 TOGETHER = 250_000
 
@@ -54,7 +58,10 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     size = 1 << max(16, int(len(raw)).bit_length())
     up, down = powers(size)
     sums = np.concatenate([[U(0)], np.cumsum((raw.astype(U) + U(1)) * up[: len(raw)], dtype=U)])
-    return mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(U)), start
+    hashes = mixed((sums[end] - sums[start]) * down[start] + (end - start).astype(U))
+    for i in np.flatnonzero(end - start > LONG):
+        hashes[i] = int.from_bytes(blake2b(data[start[i] : end[i]], digest_size=8).digest(), "little")
+    return hashes, start
 
 
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
