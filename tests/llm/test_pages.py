@@ -146,10 +146,30 @@ def test_language_query(spark):
     assert sum(r.lang == r.declared for r in rows) >= 0.9 * 250
 
 
+def test_host_suffix_and_declaration_turn_verdicts(spark):
+    """Pages whose text says nothing, among such as say it: counted by hand, without the library's functions."""
+    weights = np.log(np.full((langid.BUCKETS, 2), 1e-5))
+    for word, column in (("deutsch", 0), ("english", 1)):
+        weights[langid.trigrams(f"{word} " * 40), column] = np.log(0.05)
+    model = langid.Model(["de", "en"], weights)
+    text = {"de": "<p>" + "deutsch " * 40, "en": "<p>" + "english " * 40}
+    pages = [(f"http://a.one.com/{i}", text["en"]) for i in range(30)] + [(f"http://b.two.de/{i}", text["de"]) for i in range(30)] + [(f"http://c.two.de/{i}", text["en"]) for i in range(30)]
+    pages += [(f"//x{i}.net", f"<html lang=en>{text['en']}") for i in range(30)] + [(f"//y{i}.net", f"<html lang=de>{text['de']}") for i in range(30)]
+    odd = {"http://a.one.com/odd": "en", "http://new.org.com/": "en", "http://b.two.de/odd": "de", "http://c.two.de/odd": "en", "http://new.nowhere.de": None, "//z1.net": "en", "//z2.net": "de"}
+    pages += [(url, "<p>1 2 3" if "z" not in url else f"<html lang={'en' if '1' in url else 'de'}><p>1 2 3") for url in odd]
+    pages.append(("http://a.one.com/own", text["de"]))
+    got = {r.url: r for r in langid.identify(spark.createDataFrame([(i, *p) for i, p in enumerate(pages)], ROWS), model).collect()}
+    assert {k: got[k].lang for k, v in odd.items() if v} == {k: v for k, v in odd.items() if v}
+    assert all(got[k].text_lang == "de" for k in odd) and got["http://a.one.com/own"].lang == "de"  # strong text stands against its host
+
+
 def test_declaration_anywhere_on_the_page(spark):
     long = "<!-- " + "licence " * 10_000 + "-->"
     pages = [long + "<html lang='de'><p>x", "<html data-x='" + "y" * 70_000 + "' LANG = fr-CA><p>x", "<html>" + long + "<html class=a lang=es", long + "<p>x", "<html class=a><p lang=de>"]
     said = ["de", "fr", "es", None, None]
+    more = {"<!-- <html lang='en'> --><html lang='de'>": "de", "<script>'<html lang=en>'</script><html lang=de>": "de", "<html xml:lang='fr-FR'>": "fr", "<html xml:lang=fr lang=de>": "de"}
+    more |= {"<head><meta http-equiv='Content-Language' content='es'><p>x": "es", "<meta content=es http-equiv=content-language><html lang=de>": "de", "<!-- <html lang=en>": None, "<!--><html lang=de>": "de"}
+    assert {k: langid.declared(k) for k in more} == more
     assert [langid.declared(x) for x in pages] == said
     model = langid.Model(["de", "en", "es", "fr"], np.zeros((langid.BUCKETS, 4)))
     got = langid.identify(spark.createDataFrame([(i, None, x) for i, x in enumerate(pages)], ROWS), model).collect()

@@ -1,15 +1,16 @@
 """Language of web pages by Bayesian fusion: text, declared language, address suffix and host.
 
 The text's likelihood comes from a naive Bayes model over hashed byte trigrams, fitted on a bounded sample of
-labelled rows. Each page's likelihoods give soft counts of languages, which grouped aggregations over all pages
+labelled rows and their whole texts. Each page's likelihoods give soft counts of languages, which grouped aggregations over all pages
 sum up by host, by domain, by address suffix, and by what the markup declares. A host's prior is smoothed towards
 its domain's, that towards the suffix's, and that towards the whole's; how far a declaration speaks for a language
 is counted in the same way. A page's own soft count is taken out of what it is judged by. The posterior multiplies
 likelihood, prior and declaration.
 
 Nulls: a null page or one without text has even likelihoods; a null or odd address belongs to the host named by
-the empty string; a missing declaration counts as one of its own. Repeated rows are judged alike. An empty table
-gives an empty table. Other columns pass; those that are added replace any of the same name.
+the empty string; a missing declaration counts as one of its own. Repeated rows are judged alike. Of languages that
+are equally likely the first by name is taken. Pages of any length are read whole, in linear time, one at a time. An
+empty table gives an empty table. Other columns pass; those that are added replace any of the same name.
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm.scratch import saved
+from tributary.operators.joins import lookup
 
-#: Labelled rows in the sample, and characters of each that are used: bounds on what the driver fits on.
-SAMPLE_ROWS, SAMPLE_CHARS = 2_000, 4_000
+#: Labelled rows in the sample; their whole texts are used.
+SAMPLE_ROWS = 2_000
 BUCKETS = 1 << 16
 #: Trigrams of a text are not independent: this much of their log-likelihood is believed, up to a bound.
 TEMPER, BOUND = 0.05, 30.0
@@ -38,8 +40,11 @@ TEMPER, BOUND = 0.05, 30.0
 WEIGHT = 8.0
 
 GONE = re.compile(r"<!--(?:[^-]|-(?!->))*+(?:-->|\Z)|<(script|style|noscript|template|title)\b[^>]*>(?:[^<]|<(?!/\1))*+(?:</\1[^>]*>|\Z)|<[a-zA-Z/!?][^>]*+>", re.IGNORECASE)
-HTML = re.compile(r"<html\b", re.IGNORECASE)
-DECLARED = re.compile(r"\slang\s*+=\s*+[\"']?\s*+([a-zA-Z]{2,8})(?![a-zA-Z])", re.IGNORECASE)
+PLACES = re.compile(r"<!--|<(html|meta|script|style|title|textarea)\b", re.IGNORECASE)
+LANG = r"\s*+=\s*+[\"']?\s*+([a-zA-Z]{2,8})(?![a-zA-Z])"
+DECLARED = [re.compile(rf"\s{name}{LANG}", re.IGNORECASE) for name in ("lang", "xml:lang")]
+META = re.compile(r"\shttp-equiv\s*+=\s*+[\"']?content-language\b", re.IGNORECASE)
+CONTENT = re.compile(rf"\scontent{LANG}", re.IGNORECASE)
 SIGNS = ("lang", "probability", "declared", "text_lang")
 
 
@@ -50,15 +55,28 @@ def plain(page: str | None) -> str:
 
 
 def declared(page: str | None) -> str | None:
-    """What the first ``<html`` tag with a language says, wherever on the page; each tag is read once, up to its ``>``."""
-    page, at = page or "", 0
-    while tag := HTML.search(page, at):
-        at = page.find(">", tag.end())
-        if at < 0:
-            at = len(page)
-        if m := DECLARED.search(page, tag.end(), at):
-            return m[1].lower()
-    return None
+    """What the first ``<html`` tag with a language says, by ``lang`` or else ``xml:lang``; without one, a ``content-language``.
+
+    The whole page is searched, but for comments and raw text; each tag is read once, up to its ``>``.
+    """
+    page, at, meta = page or "", 0, None
+    while tag := PLACES.search(page, at):
+        name = (tag[1] or "").lower()
+        if name in ("html", "meta"):
+            at = page.find(">", tag.end())
+            at = len(page) if at < 0 else at
+            if name == "html":
+                for pattern in DECLARED:
+                    if m := pattern.search(page, tag.end(), at):
+                        return m[1].lower()
+            elif meta is None and META.search(page, tag.end(), at) and (m := CONTENT.search(page, tag.end(), at)):
+                meta = m[1].lower()
+        else:
+            ended = re.compile(rf"</{name}" if name else "--!?>", re.IGNORECASE).search(page, tag.end() if name else tag.end() - 2)
+            if ended is None:
+                break
+            at = ended.end()
+    return meta
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -104,7 +122,7 @@ def fit(labelled: DataFrame, text: str, lang: str, rows: int = SAMPLE_ROWS) -> M
     Languages take turns, so each is in it while there are no more than ``rows``. The hashes come first, by
     themselves, so that each task sends the driver ``rows`` numbers at most and not texts.
     """
-    known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.substring(text, 1, SAMPLE_CHARS).alias("t"), F.col(lang).alias("l"), F.xxhash64(lang, text).alias("h"))
+    known = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(text).alias("t"), F.col(lang).alias("l"), F.xxhash64(lang, text).alias("h"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[tuple[str, int]] = []
@@ -114,11 +132,19 @@ def fit(labelled: DataFrame, text: str, lang: str, rows: int = SAMPLE_ROWS) -> M
 
     chosen = turns(((r.l, r.h) for r in known.select("l", "h").mapInArrow(run, "l string, h long").collect()), rows)
     least = labelled.sparkSession.createDataFrame([(h,) for _, h in chosen], "h long")
-    sample = known.join(F.broadcast(least), "h").dropDuplicates(["h"]).collect()
-    languages = sorted({r.l for r in sample})
+    sample = known.join(F.broadcast(least), "h").dropDuplicates(["h"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t, name in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                place, n = np.unique(trigrams(t.as_py()), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(place), pa.string()), pa.array(place.astype(np.int32)), pa.array(n.astype(np.int64))], ["l", "place", "n"])
+
+    summed = sample.select("t", "l").mapInArrow(count, "l string, place int, n long").groupBy("l", "place").agg(F.sum("n").alias("n"))
+    languages = sorted({language for language, _ in chosen})
     counts = np.full((BUCKETS, max(1, len(languages))), 0.5)
-    for r in sample:
-        counts[:, languages.index(r.l)] += np.bincount(trigrams(r.t), minlength=BUCKETS)
+    for r in summed.groupBy("l").agg(F.collect_list("place").alias("places"), F.collect_list("n").alias("ns")).collect():  # BUCKETS pairs a language at most
+        counts[r.places, languages.index(r.l)] += r.ns
     return Model(languages or ["und"], np.log(counts / counts.sum(axis=0)).astype(np.float64))
 
 
@@ -168,20 +194,22 @@ def identify(pages: DataFrame, model: Model, *, html: str = "html", url: str = "
     """Adds ``lang``, its ``probability``, what the page ``declared`` and ``text_lang``, the likeliest by text alone.
 
     Pages are read once; what is counted and judged is the written evidence. Counts are added up before the
-    shuffle, so a host with a third of all pages is one row per task.
+    shuffle, so a host with a third of all pages is one row per task there, and is dealt over tasks where pages meet
+    their counts.
     """
     n = len(model.languages)
     languages = F.array(*map(F.lit, model.languages))
     seen = saved(evidence(pages, model, html, url).withColumn("__soft", shares(F.col("__scores"))), "evidence")
 
-    hosts = seen.groupBy("__host", "__domain", "__suffix").agg(summed("__soft", n, "__h"))
+    hosts = saved(seen.groupBy("__host", "__domain", "__suffix").agg(summed("__soft", n, "__h")), "hosts")
     domains = hosts.groupBy("__domain", "__suffix").agg(summed("__h", n, "__d"))
     suffixes = domains.groupBy("__suffix").agg(summed("__d", n, "__s"))
     whole = suffixes.agg(summed("__s", n, "__all")).scalar()
-    levels = hosts.join(domains, ["__domain", "__suffix"]).join(suffixes, "__suffix").select(F.col("__host").alias("__key"), "__h", "__d", "__s", whole.alias("__all"))
-    said = seen.groupBy(F.col("declared").alias("__said")).agg(summed("__soft", n, "__by"))
+    levels = lookup(lookup(hosts, domains, ["__domain", "__suffix"]), suffixes, ["__suffix"], counted=hosts).select("__host", "__h", "__d", "__s", whole.alias("__all"))
+    said = seen.groupBy("declared").agg(summed("__soft", n, "__by"))
 
-    joined = seen.join(levels, F.col("__host") == F.col("__key")).join(said, F.col("declared").eqNullSafe(F.col("__said")))
+    # hosts and declarations are unbounded, and one may have a third of all pages
+    joined = lookup(lookup(seen, levels, ["__host"]), said, ["declared"], counted=seen)
     even = F.array_repeat(F.lit(1.0 / n), n)
     prior = joined.withColumn("__p0", smoothed(F.col("__all"), F.col("__soft"), even))
     for counts, name, parent in (("__s", "__p1", "__p0"), ("__d", "__p2", "__p1"), ("__h", "__p3", "__p2")):
