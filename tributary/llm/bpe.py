@@ -1,7 +1,9 @@
 """Byte-level BPE, encoding and decoding, by a file of ranks.
 
-A text of up to ``chunk`` characters is cut into pre-tokens where it lies. A longer one is dealt out as chunks
-that overlap; each is cut on its own, in parallel. The start of a chunk may lie inside a pre-token, but how the
+Texts are dealt out as chunks of ``chunk`` characters that overlap; each is cut into pre-tokens on its own, in parallel.
+A text of one chunk is done with where it lies, in the only scan of the rows; of others, the chunks are written
+under a name of their own, made where they are written, so that what is sewn together later is one text's chunks even if
+rows come in another order when a lost executor's work is done again. The start of a chunk may lie inside a pre-token, but how the
 pattern goes on from a place depends on nothing before it: once two neighbours have a boundary in common inside
 the overlap, they agree from there on, and there they are stitched. Boundaries within ``EDGE`` characters of a
 chunk's end do not count, as what follows could still change them. A pair without a common boundary (one
@@ -11,13 +13,14 @@ per worker.
 Decoding concatenates the bytes of the ids.
 
 Nulls: a null text counts as empty, with no ids. Repeated rows are encoded alike. An empty table gives an empty
-table. Other columns pass; those that are added replace any of the same name.
+table. Texts of any length are encoded whole; the pieces of one text lie in a worker's memory. There are no ties. Other columns pass; those that are added replace any of the same name.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm.pretoken import Splitter
+from tributary.llm.scratch import saved
 
 CHUNK, OVERLAP, EDGE = 32_768, 1_024, 4
 #: Pre-tokens that a worker remembers, and their length in characters at most: some 60 MB.
@@ -83,16 +87,6 @@ def digests(parts: list[tuple[str, int, bytes]]) -> tuple[str, int, str]:
     return ",".join([x[0] for x in parts]), sum([x[1] for x in parts]), hashlib.sha256(b"".join([x[2] for x in parts])).hexdigest()
 
 
-def chunks(df: DataFrame, text: str, chunk: int, overlap: int) -> DataFrame:
-    """A row per chunk: ``(row, part, parts, piece)`` and the columns of ``df`` but the text, on the first chunk only."""
-    others = [x for x in df.columns if x != text]
-    numbered = df.withColumn("__row", F.monotonically_increasing_id())
-    parts = F.ceil(F.length(text) / F.lit(chunk)).cast("int")
-    cut = numbered.select("__row", F.struct(*others, F.lit(0).alias("__")).alias("__kept"), F.col(text).alias("__text"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("__part"))
-    piece = F.col("__text").substr(F.col("__part") * chunk + 1, F.lit(chunk + overlap))
-    return cut.select("__row", "__part", F.when(F.col("__part") == 0, F.col("__kept")).alias("__kept"), piece.alias("__piece"))
-
-
 def stitch(left: list[int], right: list[int]) -> int | None:
     """The first place at which both sides have a boundary."""
     common = set(left).intersection(right)
@@ -134,8 +128,8 @@ def join_chunks(coder: Codec, texts: list[str], chunk: int, overlap: int, cut: l
 def encode(df: DataFrame, path: str, pattern: str, *, text: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP, ids: bool = False) -> DataFrame:
     """Adds ``n_tokens``, ``ids_sha256``, ``decoded_sha256`` and, if wanted, the ``ids`` as an array; the text is left behind.
 
-    ``path`` must be there on every executor, as with an installed package. A lost executor's chunks and
-    documents are made again from their rows.
+    ``path`` must be there on every executor, as with an installed package. What the scan makes is written, once;
+    what is made from it is made again from there when an executor is lost.
     """
     if overlap >= chunk or overlap <= EDGE:
         raise ValueError("the overlap must lie between the edge and the chunk")
@@ -154,17 +148,33 @@ def encode(df: DataFrame, path: str, pattern: str, *, text: str = "text", chunk:
         arrays += [pa.array([c[1] for c in coded], pa.int64()), pa.array([hashlib.sha256(c[0].encode()).hexdigest() for c in coded], pa.string()), pa.array([c[2] for c in coded], pa.string())]
         return pa.RecordBatch.from_arrays(arrays, names)
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    empty = [("", 0, "")]
+    cut_schema = T.StructType([*schema]).add("__row", "string").add("__part", "integer").add("__piece", "string")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, pattern)
         for batch in batches:
-            coded = []
-            for x in batch.column(len(others)):
-                coded.append(digests(coder.pieces(coder.split(x.as_py()))))
-            yield finished(batch.columns[: len(others)], coded)
-
-    short = rows.where(F.length(text) <= chunk).mapInArrow(whole, schema)
-    dealt = chunks(rows.where(F.length(text) > chunk), text, chunk, overlap)
-    return short.unionByName(long_texts(dealt, path, pattern, chunk, overlap, others, schema, finished))
+            column = batch.column(len(others))
+            at, coded, kept = [], [], []
+            for i in range(batch.num_rows):
+                whole = column[i].as_py()
+                if len(whole) <= chunk:
+                    coded.append(digests(coder.pieces(coder.split(whole))))
+                    kept.append(i)
+                else:
+                    name = uuid.uuid4().hex
+                    at += [(i, name, k, whole[k * chunk : (k + 1) * chunk + overlap]) for k in range(-(-len(whole) // chunk))]
+            done = finished([x.take(pa.array(kept, pa.int64())) for x in batch.columns[: len(others)]], coded)
+            none = [pa.nulls(len(kept), t) for t in (pa.string(), pa.int32(), pa.string())]
+            yield pa.RecordBatch.from_arrays([*done.columns, *none], cut_schema.fieldNames())
+            for i, name, k, piece in at:
+                part = finished([x.slice(i, 1) for x in batch.columns[: len(others)]], empty)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array([name]), pa.array([k], pa.int32()), pa.array([piece])], cut_schema.fieldNames())
+
+    dealt = saved(rows.mapInArrow(cut, cut_schema), "chunks")
+    kept = F.when(F.col("__part") == 0, F.struct(*others, F.lit(0).alias("__"))).alias("__kept")
+    more = dealt.where(F.col("__row").isNotNull()).select("__row", "__part", kept, "__piece")
+    return dealt.where(F.col("__row").isNull()).select(*names).unionByName(long_texts(more, path, pattern, chunk, overlap, others, schema, finished))
 
 
 def long_texts(dealt: DataFrame, path: str, pattern: str, chunk: int, overlap: int, others: list[str], schema: T.StructType, finished) -> DataFrame:
