@@ -65,6 +65,21 @@ def test_cut(spark):
         assert {r.doc_id: r.text for r in trimmed.collect()} == expected
 
 
+def test_one_large_item(spark):
+    rng = random.Random(4)
+    item = " ".join(f"w{rng.randrange(400)}" for _ in range(3000))
+    v = item.split()
+    docs = [(i, " ".join([f"x{i}", *v[a : a + rng.randrange(5, 12)], "y"])) for i, a in enumerate(rng.sample(range(2980), 150))]
+    parts = list(decontaminate.parts_of(item, 500, 8))
+    assert all(len(x) < 700 for x in parts) and len(parts) > 20
+    assert {tuple(v[i : i + 8]) for i in range(2993)} == {tuple(w[i : i + 8]) for w in map(str.split, parts) for i in range(len(w) - 7)}
+    got = decontaminate.find(spark.createDataFrame(docs, "doc_id BIGINT, text STRING"), spark.createDataFrame([(1, item)], ITEMS), block_bytes=500).collect()
+    for r in got:
+        n, hit, found = brute(r.text, [(1, item)])
+        assert list(r.found["items"]) == found and [x for s in r.found.hits for x in range(s.start, s.end)] == hit
+    assert any(r.found["items"] for r in got)
+
+
 def test_query_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     items = [tuple(r) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]

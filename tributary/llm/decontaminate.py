@@ -6,10 +6,13 @@ numbered; a document's words are looked up, runs of known words are hashed, hash
 word by word, and every word inside a verified window is hit.
 
 The set goes to the workers in blocks of at most ``BLOCK_BYTES`` of benchmark text, whatever the benchmark's size:
-one block is broadcast at a time, all documents are scanned against it, and only what it hits is written.
+one block is broadcast at a time, all documents are scanned against it, and only what it hits is written, by a hash
+of the text. An item with more text than that is cut into parts that overlap by a window less one word. The hits then go
+to the documents; up to ``BROADCAST_BYTES`` of them by broadcast, and no document is moved.
 
-Nulls: a null text has no words. An item without words, or with a null id, has no windows. Repeated items count
-once; repeated documents are each judged alike. Empty tables on either side give no hits. Other columns of the
+Item ids are integers, or cast to such. Nulls: a null text has no words. An item without words, or with a null id, has
+no windows. Repeated items count once; repeated documents are each judged alike; of items with equal windows all are
+found. Texts of any length are scanned whole, each in one task. Empty tables on either side give no hits. Other columns of the
 documents pass; those that are added replace any of the same name.
 """
 
@@ -31,6 +34,8 @@ from tributary.llm.scratch import saved
 SIZE = 8
 #: Text of benchmark items in one broadcast; the set takes some 60 times as much in a worker's memory.
 BLOCK_BYTES = 1_000_000
+#: Hits, as counted, that are broadcast; beyond, documents and hits are joined by the text's hash.
+BROADCAST_BYTES = 32_000_000
 #: Words of documents that are looked up together in a worker.
 TOGETHER = 250_000
 
@@ -108,18 +113,35 @@ class Windows:
         return out
 
 
-def blocks(benchmark: DataFrame, item: str, text: str, limit: int) -> Iterator[list[tuple[int, str]]]:
-    """The benchmark's rows, in lists of at most ``limit`` bytes of text, or of one item."""
+def parts_of(text: str, limit: int, size: int) -> Iterator[str]:
+    """The text, or its words in parts of about ``limit`` bytes that have all its windows."""
+    if len(text.encode()) <= limit:
+        yield text
+        return
+    words = words_of(text)
+    begin = 0
+    while begin == 0 or begin + size <= len(words):
+        end, room = begin, limit
+        while end < len(words) and (room > 0 or end < begin + size):
+            room -= len(words[end]) + 1
+            end += 1
+        yield b" ".join(words[begin:end]).decode()
+        begin = max(begin + 1, end - size + 1)
+
+
+def blocks(benchmark: DataFrame, item: str, text: str, limit: int, size: int = SIZE) -> Iterator[list[tuple[int, str]]]:
+    """The benchmark's rows, in lists of about ``limit`` bytes of text at most."""
     rows = benchmark.where(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item).cast("bigint").alias("item"), F.col(text).alias("text"))
     block: list[tuple[int, str]] = []
-    size = 0
+    room = limit
     for row in rows.toLocalIterator():
-        n = len(row.text.encode())
-        if block and size + n > limit:
-            yield block
-            block, size = [], 0
-        block.append((row.item, row.text))
-        size += n
+        for part in parts_of(row.text, limit, size):
+            n = len(part.encode())
+            if block and n > room:
+                yield block
+                block, room = [], limit
+            block.append((row.item, part))
+            room -= n
     if block:
         yield block
 
@@ -177,7 +199,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str
     ``trim`` cuts the hit runs out of the texts, in the same pass where the benchmark is one block.
     """
     context = docs.sparkSession.sparkContext
-    made = blocks(benchmark, item, item_text, block_bytes)
+    made = blocks(benchmark, item, item_text, block_bytes, size)
     first = next(made, None)
     second = next(made, None)
     if second is None:
@@ -195,8 +217,10 @@ def find(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str
     # a text occurs once in each part: what is gathered for it is bounded by its own words and the benchmark's items
     whole = together.groupBy("__sha").agg(F.flatten(F.collect_list("found.hits")).alias("h"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("found.items")))).alias("i"))
     whole = whole.select("__sha", merged(F.col("h")).alias("__h"), F.col("i").alias("__i"))
+    whole = saved(whole, "hits")
+    weight = whole.agg(F.coalesce(F.sum(F.size("__h") * 8 + F.size("__i") * 8 + 100), F.lit(0))).first()[0]
     counted = scanned(docs, None, text).withColumn("__sha", F.sha2(text, 256))
-    joined = counted.join(whole, "__sha", "left")
+    joined = counted.join(F.broadcast(whole) if weight <= BROADCAST_BYTES else whole, "__sha", "left")
     full = joined.withColumn("found", F.struct(F.col("found.n_words"), F.coalesce("__h", "found.hits").alias("hits"), F.coalesce("__i", "found.items").alias("items"))).drop("__sha", "__h", "__i")
     return without_hits(full, text) if trim else full
 
