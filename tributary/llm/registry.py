@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import corpus_pipeline
-from tributary.llm import bpe, chat, decontaminate, extract, langid, neardup, pii, quality, sharding, token_counts
+from tributary.llm import bpe, chat, decontaminate, extract, langid, neardup, pii, pipeline, quality, sharding, token_counts
 
 SHARDS = [f"shard-{i:02d}" for i in range(16)]
 SLOTS = 2039
@@ -114,7 +113,7 @@ QUERIES = {
     "op8_decontamination": op8,
     "op9_quality_rules": op9,
     "op10_language_id": op10,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": pipeline.run,
 }
 
 OP1_SQL = f"""WITH RECURSIVE names AS (SELECT i, 'shard-' || lpad(i::VARCHAR, 2, '0') AS name FROM range({len(SHARDS)}) t(i)),

@@ -2,41 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import uuid
+from pyspark.sql import DataFrame
 
-from pyspark.sql import DataFrame, SparkSession
+from tributary.operators.materialize import clear, materialize
 
-_MADE: list[tuple[SparkSession, str]] = []
-
-
-def root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where that is unset, as in tests, one under the warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints"
+__all__ = ["clear", "saved"]
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Writes the rows as Parquet and reads them again: the plan starts anew from files that outlive any executor."""
-    spark = df.sparkSession
-    path = f"{root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _MADE.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def clear() -> None:
-    """Removes what ``saved`` has written in this process; for callers that have read their results."""
-    while _MADE:
-        spark, path = _MADE.pop()
-        try:
-            remove(spark, path)
-        except Exception:  # the session has gone, and with it the way to the files
-            return
-
-
-atexit.register(clear)
+    return materialize(df, name=name)
