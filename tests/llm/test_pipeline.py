@@ -11,7 +11,7 @@ from test_decontaminate import words
 from test_native import base
 from test_neardup import brute
 
-import corpus_pipeline
+from tributary.llm import pipeline as corpus_pipeline
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
