@@ -104,8 +104,13 @@ def classes(signed: DataFrame) -> DataFrame:
     return grouped.select(F.monotonically_increasing_id().alias("node"), "set_id", "row.id", "row.seal", "n", "keys", "bits")
 
 
-def near_sizes(a: Column, b: Column, percent: int) -> Column:
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def alike(x: str, y: str, percent: int) -> Column:
+    """False where the sizes or sketches of two structs rule a link out."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    unlike = F.lit(0)
+    for i in range(WORDS):
+        unlike = unlike + F.bit_count(F.get(f"{x}.bits", F.lit(i)).bitwiseXOR(F.get(f"{y}.bits", F.lit(i))))
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & (unlike * (100 + percent) <= (n + m) * (100 - percent))
 
 
 def sketched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -113,12 +118,9 @@ def sketched(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     sketch = F.struct("n", "bits")
     left = nodes.select(F.col("node").alias("a"), sketch.alias("x"))
     right = nodes.select(F.col("node").alias("b"), sketch.alias("y"))
-    unlike = F.lit(0)
-    for i in range(WORDS):
-        unlike = unlike + F.bit_count(F.get("x.bits", F.lit(i)).bitwiseXOR(F.get("y.bits", F.lit(i))))
-    near = unlike * (100 + percent) <= (F.col("x.n") + F.col("y.n")) * (100 - percent)
-    joined = lookup(pairs.select("a", "b").distinct().join(left, "a"), right, ["b"], counted=pairs, how="inner")
-    return joined.where(near_sizes(F.col("x.n"), F.col("y.n"), percent) & near).select("a", "b")
+    pairs = saved(pairs.select("a", "b").distinct(), "candidates")
+    joined = lookup(pairs.join(left, "a"), right, ["b"], counted=pairs, how="inner")
+    return joined.where(alike("x", "y", percent)).select("a", "b")
 
 
 def meet(rows: DataFrame, small: int, members: bool) -> DataFrame:
@@ -249,12 +251,12 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, percent: int)
     texts = saved(texts_of(docs, nodes, wanted, key, text), "texts")
     found = components(verified(tested, texts, percent))
 
-    open_ = saved(split(rooted(large, found, "node", "root")).select("node").distinct().join(nodes.select("node", "n"), "node"), "open")
+    open_ = saved(split(large, found).select("node").distinct().join(nodes.select("node", "n"), "node"), "open")
     if open_.isEmpty():
         return found
     rare = saved(prefixes(open_, texts, percent), "prefixes")
     stars = meet(rooted(rare, found, "node", "root").withColumn("place", F.xxhash64("key", "node")), 2, False)
-    for candidates in (lambda now: pairs_met(stars), lambda now: across(rooted(rare, now, "node", "root"), percent)):
+    for candidates in (lambda now: pairs_met(stars), lambda now: across(rare, now, nodes, percent)):
         pairs = saved(sketched(candidates(found), nodes, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
         if not pairs.isEmpty():
             found = components(found.unionByName(verified(pairs, texts, percent)))
@@ -262,10 +264,11 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, percent: int)
     return found
 
 
-def split(rows: DataFrame) -> DataFrame:
-    """The rows ``(key, node, root, ..)`` of the lists that have several roots, with ``members``, the list's length."""
-    several = rows.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("members")).where("r0 != r1")
-    return lookup(rows, several.select("key", "members"), ["key"], how="inner")
+def split(rows: DataFrame, stars: DataFrame) -> DataFrame:
+    """The rows ``(key, node, ..)`` of the lists that have several roots, with ``root`` and ``members``, the list's length."""
+    placed = rooted(rows, stars, "node", "root")
+    several = placed.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("members")).where("r0 != r1")
+    return lookup(placed, several.select("key", "members"), ["key"], counted=rows, how="inner")
 
 
 def prefixes(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -319,20 +322,21 @@ def prefixes(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return own.mapInArrow(cut, "key BIGINT, node BIGINT, n INT, pos INT")
 
 
-def across(rows: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)``: pairs within lists ``(key, node, n, pos, root)``, of unlike roots, that may yet be linked.
+def across(rows: DataFrame, stars: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """``(a, b)``: pairs within lists ``(key, node, n, pos)``, of unlike roots, that may yet be linked.
 
     What follows a common shingle bounds what two sets can share. A list is cut into blocks; each two of
     them, and each with itself, meet under a key of their own.
     """
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = split(rows).withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.struct("node", "n", "pos", "root", "own").alias("s"))
+    known = split(rows, stars).join(nodes.select("node", "bits"), "node")
+    dealt = known.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.struct("node", "n", "pos", "root", "own", "bits").alias("s"))
     left, right = dealt.withColumnRenamed("s", "x"), dealt.withColumnRenamed("s", "y")
     shared = F.least(F.col("x.n") - F.col("x.pos"), F.col("y.n") - F.col("y.pos"))
     may = shared * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent
     once = (F.col("i") == F.col("j")) | (F.col("x.own") != F.col("y.own"))
-    met = left.join(right, ["key", "i", "j"]).where((F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & once & may)
+    met = left.join(right, ["key", "i", "j"]).where((F.col("x.node") > F.col("y.node")) & (F.col("x.root") != F.col("y.root")) & once & may & alike("x", "y", percent))
     return met.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
 
 
