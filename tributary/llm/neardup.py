@@ -350,7 +350,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     stars = links(docs, nodes, key, text, percent)
     labelled = rooted(nodes.select("node", "set_id", F.col("id").alias("least")), stars, "node", "root")
     heads = labelled.groupBy("root").agg(F.min("least").alias("component"))
-    named = labelled.join(heads, "root").select("set_id", "component")
+    named = lookup(labelled, heads, ["root"], counted=stars.select(F.col("b").alias("root")), how="inner").select("set_id", "component")
     joined = lookup(signed.select("id", "seal", "n", "set_id"), named, ["set_id"])
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     return joined.select(F.col("id").alias(key), "seal", F.col("n").cast("bigint").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
