@@ -22,7 +22,6 @@ import base64
 import hashlib
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +32,7 @@ from pyspark.sql import types as T
 
 from tributary.llm.pretoken import Splitter
 from tributary.llm.scratch import saved
+from tributary.llm.worker import held, slices, tidy
 
 CHUNK, OVERLAP, EDGE = 32_768, 1_024, 4
 #: Pre-tokens that a worker remembers, and their length in characters at most: some 60 MB.
@@ -76,10 +76,9 @@ class Codec:
         return list(map(self.piece, texts))
 
 
-@lru_cache(maxsize=1)
 def codec(path: str, pattern: str) -> Codec:
     """One per worker; tasks that follow on the same worker find it warm."""
-    return Codec(path, pattern)
+    return held(Codec, path, pattern)
 
 
 def digests(parts: list[tuple[str, int, bytes]]) -> tuple[str, int, str]:
@@ -153,7 +152,7 @@ def encode(df: DataFrame, path: str, pattern: str, *, text: str = "text", chunk:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path, pattern)
-        for batch in batches:
+        for batch in slices(batches, len(others)):
             column = batch.column(len(others))
             at, coded, kept = [], [], []
             for i in range(batch.num_rows):
@@ -171,7 +170,7 @@ def encode(df: DataFrame, path: str, pattern: str, *, text: str = "text", chunk:
                 part = finished([x.slice(i, 1) for x in batch.columns[: len(others)]], empty)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array([name]), pa.array([k], pa.int32()), pa.array([piece])], cut_schema.fieldNames())
 
-    dealt = saved(rows.mapInArrow(cut, cut_schema), "chunks")
+    dealt = saved(rows.mapInArrow(tidy(cut), cut_schema), "chunks")
     kept = F.when(F.col("__part") == 0, F.struct(*others, F.lit(0).alias("__"))).alias("__kept")
     more = dealt.where(F.col("__row").isNotNull()).select("__row", "__part", kept, "__piece")
     return dealt.where(F.col("__row").isNull()).select(*names).unionByName(long_texts(more, path, pattern, chunk, overlap, others, schema, finished))
@@ -209,5 +208,5 @@ def long_texts(dealt: DataFrame, path: str, pattern: str, chunk: int, overlap: i
         arrays = [pc.struct_field(first, [i]) for i in range(len(others))]
         return pa.Table.from_batches([finished(arrays, [parts])])
 
-    return dealt.repartition("__row", "__part").mapInArrow(cut, coded).groupBy("__row").applyInArrow(sew, schema)
+    return dealt.repartition("__row", "__part").mapInArrow(tidy(cut), coded).groupBy("__row").applyInArrow(sew, schema)
 

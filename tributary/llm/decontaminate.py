@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.llm.scratch import saved
+from tributary.llm.worker import let_go, slices, tidy
 
 SIZE = 8
 #: Text of benchmark items in one broadcast; the set takes some 60 times as much in a worker's memory.
@@ -155,8 +156,9 @@ def scanned(docs: DataFrame, windows, text: str, trim: bool = False) -> DataFram
     kind = pa.struct([("n_words", pa.int64()), ("hits", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         table = windows.value if windows is not None else None
-        for batch in batches:
+        for batch in slices(batches, place):
             out: list[dict] = []
             group: list[list[bytes]] = []
             size = 0
@@ -178,7 +180,7 @@ def scanned(docs: DataFrame, windows, text: str, trim: bool = False) -> DataFram
                 columns[place] = pa.array(texts, columns[place].type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(out, kind)], [*names, "found"])
 
-    return rows.mapInArrow(run, T.StructType([*schema, T.StructField("found", T.DataType.fromDDL(FOUND))]))
+    return rows.mapInArrow(tidy(run), T.StructType([*schema, T.StructField("found", T.DataType.fromDDL(FOUND))]))
 
 
 def merged(runs: Column) -> Column:

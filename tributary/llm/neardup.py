@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm.scratch import saved
 from tributary.llm.shingles import U, circulant, mixed, shingle_sets
+from tributary.llm.worker import let_go, slices, tidy
 from tributary.operators.joins import lookup
 
 BANDS, ROWS = 30, 5
@@ -72,7 +73,7 @@ def sign(docs: DataFrame, key: str, text: str) -> DataFrame:
         signer = circulant(BANDS * ROWS)
         band = mixed(np.arange(1, BANDS + 1, dtype=U))
         odds = mixed(np.arange(101, 101 + ROWS, dtype=U)) | U(1)
-        for batch in batches:
+        for batch in slices(batches, 2):
             sizes, ids, keys, bits = [], [], [], []
             for hashes in shingle_sets(batch.column(2).to_pylist()):
                 sizes.append(len(hashes))
@@ -93,7 +94,7 @@ def sign(docs: DataFrame, key: str, text: str) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.mapInArrow(run, SIGNED)
+    return rows.mapInArrow(tidy(run), SIGNED)
 
 
 def classes(signed: DataFrame) -> DataFrame:
@@ -137,6 +138,7 @@ def meet(rows: DataFrame, small: int, members: bool) -> DataFrame:
         def out(kind: int, x: np.ndarray, y: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(x), kind, np.int8)), pa.array(x), pa.array(y)], ["kind", "x", "y"])
 
+        let_go()
         known = None  # the last list's key, first node and its root
         for batch in batches:
             if not batch.num_rows:
@@ -169,7 +171,7 @@ def meet(rows: DataFrame, small: int, members: bool) -> DataFrame:
         if known is not None:
             yield out(EDGE, np.array([known[0]]), np.array([known[1]]))
 
-    return ranged.mapInArrow(run, "kind TINYINT, x BIGINT, y BIGINT")
+    return ranged.mapInArrow(tidy(run), "kind TINYINT, x BIGINT, y BIGINT")
 
 
 def pairs_met(met: DataFrame) -> DataFrame:
@@ -191,6 +193,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     joined = lookup(pairs.join(left, "a"), right, ["b"], counted=pairs, how="inner").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
@@ -203,7 +206,7 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                     keep.append(common > 0 and 100 * common >= percent * (len(x) + len(y) - common))
                 yield pa.RecordBatch.from_arrays(part.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return joined.mapInArrow(run, "a BIGINT, b BIGINT")
+    return joined.mapInArrow(tidy(run), "a BIGINT, b BIGINT")
 
 
 def is_stars(edges: DataFrame) -> bool:
@@ -254,7 +257,7 @@ def links(docs: DataFrame, nodes: DataFrame, key: str, text: str, percent: int)
     open_ = saved(split(large, found).select("node").distinct().join(nodes.select("node", "n"), "node"), "open")
     if open_.isEmpty():
         return found
-    rare = saved(prefixes(open_, texts, percent), "prefixes")
+    rare = prefixes(open_, texts, percent)
     stars = meet(rooted(rare, found, "node", "root").withColumn("place", F.xxhash64("key", "node")), 2, False)
     for candidates in (lambda now: pairs_met(stars), lambda now: across(rare, now, nodes, percent)):
         pairs = saved(sketched(candidates(found), nodes, percent).join(tested, ["a", "b"], "left_anti"), "pairs")
@@ -282,7 +285,8 @@ def prefixes(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     cells = min(max(int(open_.agg(F.sum("n")).first()[0]).bit_length(), CELLS[0]), CELLS[1])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        let_go()
+        for batch in slices(batches, 1):
             got = np.concatenate([np.zeros(0, U), *shingle_sets(batch.column(1).to_pylist())]) >> U(64 - cells)
             cell, n = np.unique(got, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(n.astype(np.int64))], ["cell", "n"])
@@ -293,15 +297,16 @@ def prefixes(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             level = np.minimum(4 * np.log2(n), 255).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (cell, level)], ["cells", "levels"])
 
-    summed = own.mapInArrow(count, "cell INT, n BIGINT").groupBy("cell").agg(F.sum("n").alias("n"))
+    summed = own.mapInArrow(tidy(count), "cell INT, n BIGINT").groupBy("cell").agg(F.sum("n").alias("n"))
     table = np.zeros(1 << cells, np.uint8)
     for row in summed.mapInArrow(pack, "cells BINARY, levels BINARY").collect():  # five bytes a cell at most
         table[np.frombuffer(row.cells, np.int32)] = np.frombuffer(row.levels, np.uint8)
     sent = spark.sparkContext.broadcast(table)  # a byte a cell, whatever the input
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         levels = sent.value
-        for batch in batches:
+        for batch in slices(batches, 1):
             keys, sizes, all_ = [], [], []
             for hashes in shingle_sets(batch.column(1).to_pylist()):
                 n = len(hashes)
@@ -319,7 +324,9 @@ def prefixes(open_: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, ["key", "node", "n", "pos"])
 
-    return own.mapInArrow(cut, "key BIGINT, node BIGINT, n INT, pos INT")
+    made = saved(own.mapInArrow(tidy(cut), "key BIGINT, node BIGINT, n INT, pos INT"), "prefixes")
+    sent.unpersist()
+    return made
 
 
 def across(rows: DataFrame, stars: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:

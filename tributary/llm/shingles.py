@@ -9,12 +9,14 @@ words that collide; the known way to do so needs longer words, and these are has
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from hashlib import blake2b
 
 import numpy as np
 
+from tributary.llm.worker import held
+
 WIDTH = 5
 LONG = 256
 #: Bytes of text that are hashed together; what is made on the way takes some 60 times as much.
@@ -64,7 +66,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return hashes, start
 
 
-def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
+def shingle_sets(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
     """For each text the sorted, distinct hashes of its shingles."""
     group: list[bytes] = []
     size = 0
@@ -122,7 +124,6 @@ class Circulant:
         return least
 
 
-@lru_cache(maxsize=2)
 def circulant(coordinates: int) -> Circulant:
-    """One per worker."""
-    return Circulant(coordinates)
+    """One per worker, until it goes on to what needs none."""
+    return held(Circulant, coordinates)
